@@ -19,16 +19,22 @@ COMMON = {"tp": "m", "tp_daily": "mm", "precip": "mm"}
 TYPICAL_MM = {"tp": 48.0, "tp_daily": 2.5, "precip": 2.5}
 
 
-@F.pandas_udf("string")
-def unit_of_attribute(text: pd.Series) -> pd.Series:
+def _attribute(text: pd.Series) -> pd.Series:
     return text.map(units.attribute, na_action="ignore")
 
 
-@F.pandas_udf("string")
-def unit_of_statement(text: pd.Series) -> pd.Series:
+def _statement(text: pd.Series) -> pd.Series:
     return text.map(units.statement, na_action="ignore")
 
 
+def unit_of_attribute(column: str) -> Column:
+    return F.pandas_udf(_attribute, "string")(column)
+
+
+def unit_of_statement(column: str) -> Column:
+    return F.pandas_udf(_statement, "string")(column)
+
+
 def factor_column(unit: Column) -> Column:
     """Millimetres in one `unit`; null for an unknown name."""
     return F.create_map(*[x for u in units.CANONICAL for x in (F.lit(u), F.lit(units.factor(u)))])[unit]
