@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 
-RANK, ROUNDS, TAIL = 2, 5, 0.9
+RANK, ROUNDS = 2, 5
+#: The components stay below the CLIP quantile of the positive readings; cells above the TAIL quantile of the remainder are sparse.
+CLIP, TAIL = 0.75, 0.9
 #: A block with fewer positive readings takes no part in fixing what is normal.
 LEAST_POSITIVE = 20
 
@@ -13,7 +15,7 @@ def sparse_part(row: np.ndarray, col: np.ndarray, value: np.ndarray) -> np.ndarr
     """Which readings stand out of the low-rank part of their profile matrix (rows x columns, largest reading per cell).
 
     The matrix of log(1 + value / median) is parted into a low-rank and a sparse part in turn; empty cells take the low-rank
-    value. The sparse part starts with all that lies above the TAIL quantile, so a spike can't enter the components.
+    value. The sparse part starts with all that lies above the CLIP quantile, so a spike can't enter the components.
     """
     positive = value[value > 0]
     if len(positive) < LEAST_POSITIVE:
@@ -23,7 +25,7 @@ def sparse_part(row: np.ndarray, col: np.ndarray, value: np.ndarray) -> np.ndarr
     cells = np.full((int(row.max()) + 1, int(col.max()) + 1), -1.0)
     np.maximum.at(cells, (row, col), y)
     seen = cells >= 0
-    top = float(np.quantile(y[value > 0], TAIL))
+    top = float(np.quantile(y[value > 0], CLIP))
     sparse = np.where(seen, np.maximum(0.0, cells - top), 0.0)
     low = np.full(cells.shape, float(np.minimum(y, top).mean()))
     tau = 0.0
