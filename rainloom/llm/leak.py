@@ -25,10 +25,10 @@ LEAST_HITS = 12
 INSERTION = 160
 #: Passages held in memory at once; more are taken in blocks.
 BLOCK_ITEMS = 20_000
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE = np.array([0x9E3779B97F4A7C15], np.uint64)
 _BITS = 24
-SEPARATOR = ""
-_BROKEN = re.compile("[Â-ô][\u0080-¿ŒœŠšŸŽžƒˆ˜–-›€™]{1,3}")
+SEPARATOR = "\ue000"
+_BROKEN = re.compile("[\u00c2-\u00f4][\u0080-\u00bf\u0152\u0153\u0160\u0161\u0178\u017d\u017e\u0192\u02c6\u02dc\u2013-\u203a\u20ac\u2122]{1,3}")
 
 
 def _mend(m: re.Match) -> str:
@@ -126,28 +126,28 @@ class Passages:
             elif not segments or q >= segments[-1][1] + segments[-1][2] - GRAM // 2 and p >= segments[-1][0]:
                 segments.append([p, q, GRAM])
         ok = np.zeros(len(words), bool)
-        last_word, last_at = 0, max(0, segments[0][1] - segments[0][0] - INSERTION)
+        last_word = last_at = 0
         for n, (p, q, size) in enumerate(segments):
             a, b = int(np.searchsorted(starts, p)), int(np.searchsorted(starts, p + size, side="right")) - 1
-            if n == 0:  # words before the first run, backwards
-                i, right = a - 1, q + (int(starts[a]) - p if a < len(starts) else 0)
-                while i >= 0 and a - i <= 6:
-                    hit = text.rfind(words[i], max(0, right - len(words[i]) - 40), right)
-                    if hit >= 0:
-                        ok[i], right = True, hit
-                    i -= 1
+            if n == 0:  # words before the first run
+                self._between(words, ok, max(0, a - 4), a, text, max(0, q - 40), q + max(0, int(starts[a]) - p))
             else:
                 self._between(words, ok, last_word, a, text, last_at, q + max(0, int(starts[a]) - p))
             ok[a:b] = True
             last_word, last_at = max(last_word, b), q + int(starts[b]) - p if b > 0 else q
-        self._between(words, ok, last_word, min(len(words), last_word + 6), text, last_at, last_at + 60)
+        self._between(words, ok, last_word, min(len(words), last_word + 4), text, last_at, last_at + 40)
         return ok
 
     @staticmethod
     def _between(words: list[str], ok: np.ndarray, a: int, b: int, text: str, left: int, right: int) -> None:
-        for i in range(a, b):
+        """Marks the words a..b found in text[left:right] in their order; a short word only next to the matched text on a side."""
+        end = b
+        while end > a and text.endswith(words[end - 1], left, right):
+            end -= 1
+            ok[end], right = True, right - len(words[end])
+        for i in range(a, end):
             hit = text.find(words[i], left, right)
-            if hit >= 0:
+            if hit >= 0 and (hit == left or len(words[i]) > 3):
                 ok[i], left = True, hit + len(words[i])
 
     def leaked(self, ok: np.ndarray) -> bool:

@@ -142,7 +142,7 @@ class Utf8Stream:
                     if not self.need:
                         out.append(chr(self.point))
                     continue
-                out.append("�")
+                out.append("\ufffd")
                 self.need, self.lo, self.hi = 0, 0x80, 0xBF
             if b < 0x80:
                 out.append(chr(b))
@@ -152,9 +152,9 @@ class Utf8Stream:
                     self.need, self.lo, self.hi, self.point = need, lo, hi, b & (0x3F >> need)
                     break
             else:
-                out.append("�")
+                out.append("\ufffd")
         return "".join(out)
 
     def close(self) -> str:
         left, self.need, self.lo, self.hi = self.need, 0, 0x80, 0xBF
-        return "�" if left else ""
+        return "\ufffd" if left else ""
