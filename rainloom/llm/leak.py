@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 
 GRAM = 16  # a power of two
 STRETCH, SPARED = 25, 2
-#: Different passage windows that must be hit before a passage is verified: fewer can't come from a stretch with two faults and two insertions.
-LEAST_HITS = 12
+#: Different passage windows that must be hit before a passage is verified: 23 intact words have about 100 letters, and two faults and three insertions cost 15 windows each.
+LEAST_HITS = 24
 #: Longest insertion (header, number) between two words, in letters and digits.
 INSERTION = 160
 #: Passages held in memory at once; more are taken in blocks.
