@@ -23,12 +23,12 @@ NEXT = np.array(
     dtype=np.uint8,
 )
 CHUNK = 64
-_BLANKS = (" ", "\t", " ")
+_BLANKS = (" ", "\t", "\u00a0")
 
 
 def clean(line: str) -> str:
     """A line without its byte order mark and closing carriage returns and line feeds."""
-    return line.lstrip("﻿").rstrip("\r\n")
+    return line.lstrip("\ufeff").rstrip("\r\n")
 
 
 def split(lines: list[str], delim: str) -> list[tuple[list[str] | None, int]]:
@@ -89,5 +89,5 @@ def split(lines: list[str], delim: str) -> list[tuple[list[str] | None, int]]:
 
 def unquote(field: str) -> str:
     """The content of a field without the blanks around it and its quotes."""
-    field = field.strip(" \t ")
-    return field[1:-1].replace('""', '"').strip(" \t ") if field[:1] == '"' else field
+    field = field.strip(" \t\u00a0")
+    return field[1:-1].replace('""', '"').strip(" \t\u00a0") if field[:1] == '"' else field

@@ -56,7 +56,7 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n = len(pdf)
         status, at, days, values, names = ["blank"] * n, [-1] * n, [None] * n, [None] * n, [None] * n
         cleaned = [automaton.clean(x) if isinstance(x, str) else "" for x in pdf["raw"]]
-        full = [bool(x.strip(" \t \r\n")) for x in cleaned]
+        full = [bool(x.strip(" \t\u00a0\r\n")) for x in cleaned]
         for delim, rows in pdf.index[full].groupby(pdf["delim"].fillna(",").where(pdf["delim"].fillna(",") != "", ",")[full]).items():
             rows = list(rows)
             for i, (fields, place) in zip(rows, automaton.split([cleaned[i] for i in rows], delim)):
@@ -78,7 +78,7 @@ def _run(lines: DataFrame) -> DataFrame:
 def headers(lines: DataFrame) -> DataFrame:
     """(file_name, delim, n_fields, names) of each file that has an ID line; of repeated ones the smallest line_id counts."""
     heads = lines.filter("line_no = 1").groupBy("file_name").agg(F.min_by("raw", "line_id").alias("raw"), F.min("line_id").alias("line_id"))
-    heads = heads.withColumn("line_no", F.lit(1)).withColumn("delim", F.regexp_extract(F.regexp_replace("raw", "^﻿", ""), _DELIM, 1)).withColumn("n_fields", F.lit(None).cast("int"))
+    heads = heads.withColumn("line_no", F.lit(1)).withColumn("delim", F.regexp_extract(F.regexp_replace("raw", "^\ufeff", ""), _DELIM, 1)).withColumn("n_fields", F.lit(None).cast("int"))
     delim = heads.select("file_name", F.col("delim"))
     return _run(heads).select("file_name", "names", F.size("names").alias("n_fields")).join(delim, "file_name")
 
