@@ -25,8 +25,8 @@ from rainloom.sources.tables import staged
 MAX_LABELLED = 20_000
 #: Terms kept, so that the term-by-term matrix (V x V doubles, at most 34 MB) has a fixed bound.
 MAX_TERMS = 2048
-DIMENSIONS, REFINEMENTS = 96, 2
-LEAST_COSINE, MENTIONS, PARAGRAPHS = 0.3, 2, 2
+DIMENSIONS, REFINEMENTS = 64, 2
+LEAST_COSINE, MENTIONS, PARAGRAPHS = 0.1, 2, 2
 _WORD = re.compile(r"[a-z]{3,}")
 _MARK = re.compile(r"\s*(?:\[\d{1,4}\]|\d{1,3}[.)](?=\s|$)|§\s*\d+)")
 _HEADER = re.compile(r"\bCRT-\d|\b[A-Z]-\d{6,}/\d{4}|\*\*\*|\bp(?:age|\.) ?\d|^\W*\d+\W*$|^\W*â\W*\d+\W*â", re.I)
@@ -182,6 +182,7 @@ class Space:
 
     def __init__(self, weight: np.ndarray, basis: np.ndarray, centroids: np.ndarray) -> None:
         self.basis = basis * weight[:, None]
+        self.least_cosine, self.mentions = LEAST_COSINE, MENTIONS
         self.use(centroids)
 
     def use(self, centroids: np.ndarray) -> None:
@@ -202,7 +203,7 @@ class Space:
         cosine = x @ self.centroids.T
         best = cosine.argmax(axis=1)
         mentions = np.bincount(paragraph, weights=self.nearest[term] == best[paragraph], minlength=n)
-        return np.where((cosine[np.arange(n), best] >= LEAST_COSINE) & (mentions >= MENTIONS), best, -1), x
+        return np.where((cosine[np.arange(n), best] >= self.least_cosine) & (mentions >= self.mentions), best, -1), x
 
 
 def _sums(encoded: DataFrame, space: Space, k: int) -> np.ndarray:
