@@ -1,4 +1,480 @@
-"""Registered queries of the forecast operators."""
+"""Registered queries of the forecast and verification operators.
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+Verification needs many members, years and models per cell. Queries marked (cube) take them from the order lines, mapped to
+a forecast cube: model = return flag and line status, cell = nation of the supplier, member = line number modulo 5, daily
+amount = quantity shipped; observations are the order totals by nation of the customer. The other queries read the rainfall
+tables. Values are rounded to six digits.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from rainloom import config
+from rainloom.functions import labels, requests
+from rainloom.functions.expr import decode_months, known, level_bin
+from rainloom.operators import forecast as fc, periods as pd_, spatial, verify as vf
+from rainloom.plans import sql
+from rainloom.sources import stations as st
+from rainloom.sources.tables import read
+
+MEMBERS, YEARS, HINDCAST, FORECAST, PERIODS = list(range(5)), list(range(1995, 2001)), (1995, 1999), 2000, list(range(6, 12))
+MODELS = 6
+SEASONS = {"DJF": (1201, 228), "MAM": (301, 531), "JJA": (601, 831), "SON": (901, 1130), "NDJF": (1101, 229)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = sql.ORACLE
+
+
+def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def r6(*names: str) -> list[Column]:
+    return [F.round(F.col(n).cast("double"), 6).alias(n) for n in names]
+
+
+def t6(*names: str) -> list[Column]:
+    """Six digits of values that may lie halfway between two; a billionth settles those alike whatever the order of a sum."""
+    return [F.round(F.col(n).cast("double") + 1e-9, 6).alias(n) for n in names]
+
+
+# --- the cube ---------------------------------------------------------------------------------------------------------
+
+
+def cube(spark: SparkSession, d: str) -> DataFrame:
+    lines = read(spark, d, "lineitem").select("l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity", "l_shipdate")
+    day = F.to_date("l_shipdate")
+    kept = lines.filter(F.month("l_shipdate").between(6, 11) & (F.year("l_shipdate") <= FORECAST)).join(read(spark, d, "supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+    return kept.groupBy(
+        F.concat("l_returnflag", "l_linestatus").alias("model"), F.col("s_nationkey").alias("cell_id"), (F.col("l_linenumber") % 5).cast("int").alias("number"), F.year(day).alias("year"), day.alias("day")
+    ).agg(F.sum("l_quantity").alias("tp_daily"))
+
+
+def acc(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Hindcast and forecast amounts by month."""
+    c = fc.dense(cube(spark, d).withColumn("period_id", F.month("day")), MEMBERS, YEARS, PERIODS)
+    return c.filter(F.col("year").between(*HINDCAST)), c.filter(F.col("year") == FORECAST)
+
+
+def observed(spark: SparkSession, d: str) -> DataFrame:
+    o = read(spark, d, "orders").join(read(spark, d, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    o = o.withColumns({"year": F.year("o_orderdate"), "period_id": F.month("o_orderdate")}).filter(F.col("period_id").between(6, 11) & F.col("year").between(*HINDCAST))
+    return o.groupBy(F.col("c_nationkey").alias("cell_id"), "period_id", "year").agg((F.sum("o_totalprice") / 1000.0).alias("acc_mm"))
+
+
+def verification(spark: SparkSession, d: str) -> DataFrame:
+    return vf.pairs(acc(spark, d)[0], observed(spark, d))
+
+
+def limits(spark: SparkSession, d: str) -> DataFrame:
+    return fc.thresholds(acc(spark, d)[0])
+
+
+def probs(spark: SparkSession, d: str) -> DataFrame:
+    h, f = acc(spark, d)
+    return fc.probabilities(f, fc.thresholds(h))
+
+
+def light(spark: SparkSession, d: str) -> DataFrame:
+    h, f = acc(spark, d)
+    return fc.light_products(f, h)
+
+
+# --- the rainfall tables ----------------------------------------------------------------------------------------------
+
+
+def forecasts(spark: SparkSession, d: str, columns: tuple[str, ...] = ("tp", "tp_daily")) -> DataFrame:
+    """`fcst_daily` with the last delivery of each repeated row."""
+    keys = ["file_id", "model", "kind", "number", "init_time", "step_h", "valid_time", "cell_id"]
+    return fc.latest(read(spark, d, "fcst_daily").select(*keys, *columns, "received", "fcst_id"), keys, ["received", "fcst_id"])
+
+
+def finite(c: str) -> Column:
+    return F.when(F.abs(known(F.col(c))) <= 1900.0, F.col(c))
+
+
+def observations(spark: SparkSession, d: str) -> DataFrame:
+    """`obs_daily` on the cells of the grid, the last of repeated rows."""
+    o = fc.latest(read(spark, d, "obs_daily").select("file_id", "time", "latitude", "longitude", "precip", "row_id"), ["file_id", "time", "latitude", "longitude"], ["row_id"])
+    return o.join(read(spark, d, "grid").select("cell_id", "latitude", "longitude"), ["latitude", "longitude"])
+
+
+def spans(spark: SparkSession, d: str) -> DataFrame:
+    return pd_.spans_of(read(spark, d, "fcst_daily").select("file_id", "valid_time"), ["file_id"])
+
+
+@query
+def decumulate(spark: SparkSession, d: str) -> DataFrame:
+    x = forecasts(spark, d, ("tp",))
+    return fc.decumulate(x, ["file_id", "number", "cell_id"]).select("fcst_id", *t6("tp_daily"))
+
+
+@query
+def periods_month(spark: SparkSession, d: str) -> DataFrame:
+    return pd_.months(spans(spark, d), ["file_id"])
+
+
+@query
+def periods_decade(spark: SparkSession, d: str) -> DataFrame:
+    return pd_.decades(spans(spark, d), ["file_id"])
+
+
+@query
+def periods_season(spark: SparkSession, d: str) -> DataFrame:
+    return pd_.seasons(spans(spark, d), ["file_id"], window=1)
+
+
+@query
+def periods_partial(spark: SparkSession, d: str) -> DataFrame:
+    """Decades with the unfinished last one, no later than a fixed day."""
+    return pd_.decades(pd_.spans_of(read(spark, d, "fcst_daily").select("file_id", "valid_time"), ["file_id"], "2023-06-15"), ["file_id"], partial_last=True)
+
+
+@query
+def period_custom(spark: SparkSession, d: str) -> DataFrame:
+    return pd_.custom(spans(spark, d), ["file_id"])
+
+
+@query
+def accumulate_forecast(spark: SparkSession, d: str) -> DataFrame:
+    x = forecasts(spark, d, ("tp_daily",)).filter("kind = 'forecast'").withColumns({"day": F.to_date("valid_time"), "tp_daily": finite("tp_daily")})
+    days = pd_.days(pd_.decades(spans(spark, d), ["file_id"])).select("file_id", "label", "day")
+    return fc.accumulate(x, days, ["file_id", "number", "cell_id"], ["file_id"]).select("file_id", "number", "cell_id", "label", *t6("acc_mm"))
+
+
+@query
+def accumulate_hindcast(spark: SparkSession, d: str) -> DataFrame:
+    x = forecasts(spark, d, ("tp_daily",)).filter("kind = 'hindcast'").withColumns({"day": F.to_date("valid_time"), "tp_daily": finite("tp_daily"), "init_year": F.year("init_time")})
+    return fc.accumulate_seasons(x, {k: v for k, v in SEASONS.items() if v[0] <= v[1]}, ["model", "number", "init_year", "cell_id"]).select("model", "number", "init_year", "cell_id", "season", *t6("acc_mm"))
+
+
+@query
+def monthday_wraparound(spark: SparkSession, d: str) -> DataFrame:
+    x = observations(spark, d).withColumns({"year": F.year("time"), "precip": finite("precip")})
+    return fc.accumulate_seasons(x, {k: v for k, v in SEASONS.items() if v[0] > v[1]}, ["cell_id", "year"], "precip", "time").select("cell_id", "year", "season", *t6("acc_mm"))
+
+
+@query
+def obs_accumulate(spark: SparkSession, d: str) -> DataFrame:
+    x = observations(spark, d).withColumns({"year": F.year("time"), "month": F.month("time")})
+    return fc.accumulate_observed(x, ["file_id", "cell_id", "year", "month"]).select("file_id", "cell_id", "year", "month", *t6("acc_mm"))
+
+
+@query
+def ens_mean_daily(spark: SparkSession, d: str) -> DataFrame:
+    x = forecasts(spark, d, ("tp_daily",)).withColumn("tp_daily", finite("tp_daily"))
+    return fc.ensemble_mean(x, "tp_daily", ["file_id", "cell_id", "step_h"]).select("file_id", "cell_id", "step_h", *t6("ens_mean"))
+
+
+@query
+def dispersion(spark: SparkSession, d: str) -> DataFrame:
+    x = forecasts(spark, d, ("tp_daily",)).withColumn("tp_daily", finite("tp_daily"))
+    return fc.dispersion(x, "tp_daily", ["file_id", "cell_id", "step_h"]).select("fcst_id", *t6("deviation"))
+
+
+@query
+def exceedance_daily(spark: SparkSession, d: str) -> DataFrame:
+    x = forecasts(spark, d, ("tp_daily",)).select("file_id", "cell_id", "step_h", finite("tp_daily").alias("acc_mm"))
+    return fc.exceedance(x, (1, 5, 10, 20), ["file_id", "cell_id", "step_h"]).select("file_id", "cell_id", "step_h", "threshold_mm", *t6("prob"))
+
+
+# --- thresholds and probabilities (cube) ------------------------------------------------------------------------------
+
+
+@query
+def climatology_anomaly(spark: SparkSession, d: str) -> DataFrame:
+    h, f = acc(spark, d)
+    return fc.anomalies(f, h).select("model", "cell_id", "period_id", "number", *r6("clim_mean", "anomaly"))
+
+
+@query
+def quantile_thresholds(spark: SparkSession, d: str) -> DataFrame:
+    return limits(spark, d).select(*fc.CELL, *r6(*fc.QUANTILES, "clim_mean"), "dry_mask")
+
+
+@query
+def tercile_probs(spark: SparkSession, d: str) -> DataFrame:
+    return probs(spark, d).select(*fc.CELL, *r6(*config.PROBABILITIES))
+
+
+@query
+def coherence(spark: SparkSession, d: str) -> DataFrame:
+    return fc.coherence(probs(spark, d)).select("model", *r6("worst"))
+
+
+@query
+def exceedance(spark: SparkSession, d: str) -> DataFrame:
+    return fc.exceedance(acc(spark, d)[1]).select(*fc.CELL, "threshold_mm", *r6("prob"))
+
+
+@query
+def light_products(spark: SparkSession, d: str) -> DataFrame:
+    return light(spark, d).select(*fc.CELL, *[F.round(F.col(c).cast("double"), 4).alias(c) for c in ("ens_mean_anomaly", *config.PROBABILITIES, "clim_mean")], F.col("dry_mask").cast("int").alias("dry_mask"))
+
+
+def _multi(spark: SparkSession, d: str) -> DataFrame:
+    return fc.multimodel(light(spark, d), MODELS)
+
+
+def _r4(*names: str) -> list[Column]:
+    return [F.round(n, 4).alias(n) for n in names]
+
+
+@query
+def multimodel_mean(spark: SparkSession, d: str) -> DataFrame:
+    return _multi(spark, d).select("cell_id", "period_id", *_r4("ens_mean_anomaly", *config.PROBABILITIES))
+
+
+@query
+def multimodel_tercile(spark: SparkSession, d: str) -> DataFrame:
+    return _multi(spark, d).select("cell_id", "period_id", *_r4("norm_BN", "norm_NN", "norm_AN"))
+
+
+@query
+def multimodel_dry_vote(spark: SparkSession, d: str) -> DataFrame:
+    return _multi(spark, d).select("cell_id", "period_id", "dry")
+
+
+@query
+def tercile_summary_class(spark: SparkSession, d: str) -> DataFrame:
+    p = probs(spark, d).join(limits(spark, d).select(*fc.CELL, "dry_mask"), fc.CELL)
+    c = fc.summary_class(F.col("prob_BN"), F.col("prob_NN"), F.col("prob_AN"))
+    return p.select(*fc.CELL, F.when(F.col("dry_mask"), "D").otherwise(c).alias("class"))
+
+
+# --- verification (cube) ----------------------------------------------------------------------------------------------
+
+
+@query
+def loo_terciles_model(spark: SparkSession, d: str) -> DataFrame:
+    return vf.loo_terciles(acc(spark, d)[0], fc.CELL).select(*fc.CELL, "year", *r6("lower", "upper"))
+
+
+@query
+def loo_terciles_obs(spark: SparkSession, d: str) -> DataFrame:
+    return vf.loo_terciles(observed(spark, d), ["cell_id", "period_id"]).select("cell_id", "period_id", "year", *r6("lower", "upper"))
+
+
+@query
+def loo_probs(spark: SparkSession, d: str) -> DataFrame:
+    return vf.loo_probabilities(acc(spark, d)[0]).select(*fc.CELL, "year", *r6("pBN", "pNN", "pAN"))
+
+
+@query
+def obs_category(spark: SparkSession, d: str) -> DataFrame:
+    return vf.observed_category(observed(spark, d)).withColumn("obs_cat", F.col("obs_cat").cast("int"))
+
+
+@query
+def rpss(spark: SparkSession, d: str) -> DataFrame:
+    return vf.skill_scores(verification(spark, d)).select(*fc.CELL, *r6("rpss"))
+
+
+@query
+def bss(spark: SparkSession, d: str) -> DataFrame:
+    return vf.skill_scores(verification(spark, d)).select(*fc.CELL, *r6("bss_BN", "bss_NN", "bss_AN"))
+
+
+@query
+def roc_area(spark: SparkSession, d: str) -> DataFrame:
+    return vf.roc_areas(verification(spark, d)).select(*fc.CELL, *r6("roc_BN", "roc_AN"))
+
+
+@query
+def ens_skill(spark: SparkSession, d: str) -> DataFrame:
+    return vf.ensemble_skill(acc(spark, d)[0], observed(spark, d)).select(*fc.CELL, *r6("corr_ens", "rmse_ens"))
+
+
+@query
+def reliability(spark: SparkSession, d: str) -> DataFrame:
+    zone = read(spark, d, "grid").filter("in_zone").select("cell_id")
+    joined = verification(spark, d).join(zone, "cell_id", "left_semi")
+    return vf.reliability(joined, ["model", "period_id"]).select("model", "period_id", "category", "bin", "n", *r6("mean_fcst", "obs_freq"))
+
+
+@query
+def domain_stats(spark: SparkSession, d: str) -> DataFrame:
+    zone = read(spark, d, "grid").filter("in_zone").select("cell_id")
+    scores = vf.skill_scores(verification(spark, d)).join(zone, "cell_id", "left_semi")
+    return vf.domain_stats(scores, "rpss", ["model", "period_id"]).select("model", "period_id", *r6("mean", "positive"))
+
+
+@query
+def summary_text(spark: SparkSession, d: str) -> DataFrame:
+    v = verification(spark, d)
+    scores = vf.skill_scores(v).join(vf.roc_areas(v), fc.CELL).join(vf.ensemble_skill(acc(spark, d)[0], observed(spark, d)), fc.CELL)
+    stats = scores.groupBy("model", "period_id").agg(F.avg("rpss").alias("rpss"), F.avg(F.when(F.col("rpss") > 0, 1.0).otherwise(0.0)).alias("positive"), F.avg("roc_BN").alias("roc_bn"), F.avg("roc_AN").alias("roc_an"), F.avg("corr_ens").alias("corr"))
+    return vf.summary_lines(stats.withColumn("label", F.concat_ws(" ", "model", F.col("period_id").cast("string"))))
+
+
+@query
+def multimodel_verification(spark: SparkSession, d: str) -> DataFrame:
+    pairs = vf.multimodel_pairs(verification(spark, d), MODELS)
+    keys = ["cell_id", "period_id"]
+    return vf.skill_scores(pairs, keys).join(vf.roc_areas(pairs, keys), keys).select(*keys, *r6("rpss", "bss_BN", "bss_NN", "bss_AN", "roc_BN", "roc_AN"))
+
+
+# --- space ------------------------------------------------------------------------------------------------------------
+
+
+@query
+def polygon_mask(spark: SparkSession, d: str) -> DataFrame:
+    return spatial.grid_mask(read(spark, d, "grid"), read(spark, d, "zone_edges"))
+
+
+@query
+def mask_census(spark: SparkSession, d: str) -> DataFrame:
+    """Observed cells inside and outside the zones."""
+    m = spatial.grid_mask(read(spark, d, "grid"), read(spark, d, "zone_edges"))
+    return observations(spark, d).join(m, "cell_id").groupBy("file_id").agg(F.count_if("in_zone").alias("inside"), F.count("*").alias("total"))
+
+
+@query
+def bilinear_regrid(spark: SparkSession, d: str) -> DataFrame:
+    """Elevation-free test field: the mean observed amount of each cell (or its distance from the corner where unobserved), at the stations."""
+    mean = observations(spark, d).groupBy("cell_id").agg(F.avg(finite("precip")).alias("m"))
+    source = read(spark, d, "grid").join(mean, "cell_id", "left").select("latitude", "longitude", F.coalesce("m", (F.col("iy") + F.col("ix")).cast("double")).alias("precip"))
+    targets = read(spark, d, "stations").groupBy("station").agg(F.min("longitude").alias("longitude"), F.min("latitude").alias("latitude"))
+    return spatial.bilinear(source, targets, "station", "precip").select("station", *t6("precip"))
+
+
+# --- stations ---------------------------------------------------------------------------------------------------------
+
+
+@query
+def station_detect(spark: SparkSession, d: str) -> DataFrame:
+    return st.formats(st.fields_of(read(spark, d, "station_lines")))
+
+
+@query
+def station_cdt(spark: SparkSession, d: str) -> DataFrame:
+    return st.station_rows(read(spark, d, "station_lines"), "cdt")
+
+
+@query
+def station_nudge(spark: SparkSession, d: str) -> DataFrame:
+    s = read(spark, d, "stations").select("station", "cadence_h", "longitude", "latitude")
+    return st.nudged(st.nudged(s, "longitude", "station", ["cadence_h"]), "latitude", "station", ["cadence_h"]).select("station", *[F.round(c, 7).alias(c) for c in ("longitude", "latitude")])
+
+
+@query
+def station_missing(spark: SparkSession, d: str) -> DataFrame:
+    o = read(spark, d, "station_obs").withColumn("v", st.not_missing(F.col("prcp")))
+    return o.groupBy("station").agg(F.count("*").alias("n"), F.count("v").alias("known"))
+
+
+# --- time, addresses, labels ------------------------------------------------------------------------------------------
+
+
+@query
+def decode_months_since(spark: SparkSession, d: str) -> DataFrame:
+    """Months since 1960 of each day, with the day of the month as a fraction, back to a month."""
+    t = F.to_date("time")
+    months = (F.year(t) - 1960) * 12 + F.month(t) - 1 + (F.dayofmonth(t) - 1) / F.lit(32.0)
+    return read(spark, d, "obs_daily").select("row_id", decode_months(months, F.lit("1960-01-01").cast("date")).alias("month"))
+
+
+@query
+def nmme_valid_time(spark: SparkSession, d: str) -> DataFrame:
+    """The month of each step, with leads in half months."""
+    lead = F.floor(F.col("step_h") / 720) + 0.5
+    return read(spark, d, "fcst_daily").select("fcst_id", F.add_months(F.trunc("init_time", "month"), F.bround(lead - 0.5).cast("int")).alias("valid_month"))
+
+
+@query
+def nmme_url(spark: SparkSession, d: str) -> DataFrame:
+    runs = read(spark, d, "fcst_daily").select("model", "init_time", "kind").distinct()
+    return runs.select("model", "init_time", "kind", requests.nmme_url_column(F.col("model"), "PRCP", F.col("init_time"), F.upper("kind")).alias("url"))
+
+
+def _years(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "obs_daily").groupBy("file_id").agg(F.min(F.year("time")).alias("a"), F.max(F.year("time")).alias("b"))
+
+
+@query
+def chirps_url(spark: SparkSession, d: str) -> DataFrame:
+    return _years(spark, d).select("file_id", requests.monthly_url_column(config.CHIRPS_SOURCE, F.col("a"), F.col("b")).alias("url"))
+
+
+@query
+def tamsat_url(spark: SparkSession, d: str) -> DataFrame:
+    return _years(spark, d).select("file_id", requests.monthly_url_column(config.TAMSAT_SOURCE, F.col("a"), F.col("b")).alias("url"))
+
+
+@query
+def c3s_request(spark: SparkSession, d: str) -> DataFrame:
+    """One request per model, kind and initial month."""
+    runs = read(spark, d, "fcst_daily").groupBy("model", "kind", F.lpad(F.month("init_time").cast("string"), 2, "0").alias("month")).agg(
+        F.concat_ws(",", F.array_sort(F.collect_set(F.year("init_time").cast("string")))).alias("years"), F.concat_ws(",", F.transform(F.array_sort(F.collect_set("step_h")), lambda h: h.cast("string"))).alias("leadtime_hour")
+    )
+    area = ",".join(str(x) for x in requests.cds_area(config.AREA))
+    return runs.select(F.col("model").alias("originating_centre"), "kind", "month", "years", "leadtime_hour", F.lit(config.C3S_VARIABLES["PRCP"]).alias("variable"), F.lit("grib").alias("data_format"), F.lit(area).alias("area"))
+
+
+@query
+def era5_request(spark: SparkSession, d: str) -> DataFrame:
+    """One request per observed year."""
+    area = ",".join(str(x) for x in requests.cds_area(config.AREA))
+    months = F.concat_ws(",", F.array_sort(F.collect_set(F.lpad(F.month("time").cast("string"), 2, "0"))))
+    return read(spark, d, "obs_daily").groupBy(F.year("time").cast("string").alias("year")).agg(months.alias("months"), F.lit(config.ERA5_VARIABLES["PRCP"]).alias("variable"), F.lit(area).alias("area"))
+
+
+def _all_periods(spark: SparkSession, d: str) -> DataFrame:
+    s = spans(spark, d)
+    return pd_.months(s, ["file_id"]).unionByName(pd_.decades(s, ["file_id"])).unionByName(pd_.seasons(s, ["file_id"], window=1)).unionByName(pd_.custom(s, ["file_id"]))
+
+
+@query
+def period_label(spark: SparkSession, d: str) -> DataFrame:
+    return _all_periods(spark, d).select("file_id", "type", "start", "end", labels.period_label(F.col("type"), F.col("start"), F.col("end")).alias("title"))
+
+
+@query
+def output_names(spark: SparkSession, d: str) -> DataFrame:
+    """Subfolder and safe name of each period."""
+    return _all_periods(spark, d).select("file_id", "type", "label", labels.subfolder(F.col("type")).alias("subfolder"), labels.safe_name(F.concat_ws("/", "type", F.concat(F.col("label"), F.lit(" x")))).alias("name"))
+
+
+@query
+def contour_level_bin(spark: SparkSession, d: str) -> DataFrame:
+    """Level of the ensemble-mean anomaly (cube)."""
+    h, f = acc(spark, d)
+    mean = fc.ensemble_mean(fc.anomalies(f, h), "anomaly", fc.CELL)
+    return mean.select(*fc.CELL, level_bin(F.round("ens_mean", 6), config.LEVELS["month"]).alias("level"))
+
+
+def _zoned(df: DataFrame, spark: SparkSession, d: str) -> DataFrame:
+    return df.join(read(spark, d, "grid").select("cell_id", "in_zone"), "cell_id", "left")
+
+
+@query
+def map_layers_probability(spark: SparkSession, d: str) -> DataFrame:
+    """Percent of each probability inside the zones where it isn't dry, with its ten-percent bin (cube)."""
+    p = _zoned(probs(spark, d).join(limits(spark, d).select(*fc.CELL, "dry_mask"), fc.CELL), spark, d)
+    long = p.select(*fc.CELL, "in_zone", "dry_mask", F.inline(F.array(*[F.struct(F.lit(c).alias("layer"), F.col(c).alias("p")) for c in config.PROBABILITIES])))
+    percent = F.when(F.coalesce("in_zone", F.lit(False)) & ~F.col("dry_mask"), F.round(F.col("p") * 100, 6))
+    return long.select(*fc.CELL, "layer", percent.alias("percent"), F.floor(F.least(percent, F.lit(99.0)) / 10).cast("int").alias("bin"))
+
+
+@query
+def map_layers_exceedance(spark: SparkSession, d: str) -> DataFrame:
+    """Percent at or above each limit inside the zones, dry or not (cube)."""
+    e = _zoned(fc.exceedance(acc(spark, d)[1]), spark, d)
+    return e.select(*fc.CELL, "threshold_mm", F.when(F.coalesce("in_zone", F.lit(False)), F.round(F.col("prob") * 100, 6)).alias("percent"))
+
+
+@query
+def map_layers_skill(spark: SparkSession, d: str) -> DataFrame:
+    s = vf.skill_scores(verification(spark, d))
+    return s.select(*fc.CELL, level_bin(F.round("rpss", 6), config.SKILL_LEVELS).alias("level"))
+
+
+@query
+def multimodel_panel(spark: SparkSession, d: str) -> DataFrame:
+    """Ensemble-mean anomalies of the models with that of all models beside them (cube)."""
+    each = light(spark, d).select("model", "cell_id", "period_id", F.col("ens_mean_anomaly").cast("double").alias("ens_mean_anomaly"))
+    both = each.unionByName(_multi(spark, d).select(F.lit("multi_model").alias("model"), "cell_id", "period_id", "ens_mean_anomaly"))
+    return both.select("model", "cell_id", "period_id", *_r4("ens_mean_anomaly"))
