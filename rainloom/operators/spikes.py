@@ -10,7 +10,6 @@ rows, block maxima and the runs at the ends of blocks leave the blocks, so no so
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -78,24 +77,36 @@ def _block(table: pa.Table) -> pa.Table:
         else:
             row, col = np.unique(series, return_inverse=True)[1], np.unique(order, return_inverse=True)[1]
         deviates[plain] = profile.sparse_part(row[plain], col[plain], value[plain])
-    parts = []
+    parts: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def put(kind: str, rows: np.ndarray, pos=0, n=0) -> None:  # noqa: ANN001
-        parts.append(pd.DataFrame({"kind": kind, "pos": pos if np.isscalar(pos) else pos[rows], "equal": equal[rows], "n": n if np.isscalar(n) else n[rows], "row_id": ids[rows], "value": value[rows]}))
+    def put(kind: str, rows: np.ndarray, pos: np.ndarray | None = None, n: np.ndarray | None = None) -> None:
+        zero = np.zeros(len(rows), np.int64)
+        parts.append((kind, rows, zero if pos is None else pos[rows], zero if n is None else n[rows]))
 
+    place = np.where(end_run == 2, 1, 0)
     put("F", np.flatnonzero(found | stuck))
     put("C", np.flatnonzero(deviates))
-    put("O", np.flatnonzero(edge & ~found), np.where(end_run == 2, 1, 0))
+    put("O", np.flatnonzero(edge & ~found), place)
     if spans_blocks:
         ends = [0] if len(length) == 1 else [0, len(length) - 1]
-        at = np.array([int(np.flatnonzero(run == r)[0]) for r in ends])
-        put("E", at, np.where(end_run == 2, 1, 0), length[run])
+        put("E", np.array([int(np.flatnonzero(run == r)[0]) for r in ends]), place, length[run])
     rest = np.flatnonzero(plain & ~deviates)
     if len(rest):
         put("M", rest[[int(value[rest].argmax())]])
-    out = pd.concat(parts, ignore_index=True)
-    schema = pa.schema([("tbl", pa.string()), ("src", pa.string()), ("block", pa.int32()), ("kind", pa.string()), ("pos", pa.int32()), ("equal", pa.float64()), ("n", pa.int64()), ("row_id", pa.int64()), ("value", pa.float64())])
-    return pa.Table.from_pandas(out.assign(tbl=tbl, src=src, block=block)[schema.names], schema=schema, preserve_index=False)
+    rows = np.concatenate([p[1] for p in parts])
+    size = len(rows)
+    columns = {
+        "tbl": pa.array([tbl] * size, pa.string()),
+        "src": pa.array([src] * size, pa.string()),
+        "block": pa.array([block] * size, pa.int32()),
+        "kind": pa.array([k for k, at, _, _ in parts for _ in range(len(at))], pa.string()),
+        "pos": pa.array(np.concatenate([p[2] for p in parts]).astype(np.int32)),
+        "equal": pa.array(equal[rows]),
+        "n": pa.array(np.concatenate([p[3] for p in parts]).astype(np.int64)),
+        "row_id": pa.array(ids[rows]),
+        "value": pa.array(value[rows]),
+    }
+    return pa.table(columns)
 
 
 def _cuts(normal: DataFrame, pool: DataFrame) -> DataFrame:
