@@ -25,7 +25,7 @@ from rainloom.sources.tables import staged
 MAX_LABELLED = 20_000
 #: Terms kept, so that the term-by-term matrix (V x V doubles, at most 34 MB) has a fixed bound.
 MAX_TERMS = 2048
-DIMENSIONS, REFINEMENTS = 64, 2
+DIMENSIONS, REFINEMENTS = 96, 2
 LEAST_COSINE, MENTIONS, PARAGRAPHS = 0.1, 2, 2
 _WORD = re.compile(r"[a-z]{3,}")
 _MARK = re.compile(r"\s*(?:\[\d{1,4}\]|\d{1,3}[.)](?=\s|$)|§\s*\d+)")
@@ -190,14 +190,13 @@ class Space:
         self.centroids = np.divide(centroids, norm, out=np.zeros_like(centroids), where=norm > 0)
         self.nearest = (self.basis @ self.centroids.T).argmax(axis=1)
 
-    def embed(self, group: np.ndarray, term: np.ndarray, n: int) -> np.ndarray:
-        out = np.zeros((n, self.basis.shape[1]))
-        np.add.at(out, group, self.basis[term])
-        return out
+    def embed(self, group: np.ndarray, term: np.ndarray) -> np.ndarray:
+        """Sums of the vectors of the terms of each group; the groups are 0, 1, ... in this order."""
+        return np.add.reduceat(self.basis[term], np.flatnonzero(np.diff(group, prepend=-1)))
 
     def devoted(self, paragraph: np.ndarray, term: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(subject, unit vector) of each of n paragraphs; -1 where no subject is near enough or mentioned often enough."""
-        x = self.embed(paragraph, term, n)
+        """(subject, unit vector) of each of n paragraphs, each with terms; -1 where no subject is near enough or mentioned often enough."""
+        x = self.embed(paragraph, term)
         norm = np.linalg.norm(x, axis=1)
         x = np.divide(x, norm[:, None], out=np.zeros_like(x), where=norm[:, None] > 0)
         cosine = x @ self.centroids.T
