@@ -164,3 +164,18 @@ def test_stuck_over_the_end_of_a_block(spark):
     obs = spark.createDataFrame([(*r, T0, None, None, None) for r in rows], OBS)
     out = spikes.implausible_readings(obs, spark.createDataFrame([], FCST), spark.createDataFrame([], ATTRS)).filter("why = 'stuck'").collect()
     assert {r.row_id for r in out} == set(range(1, 7))
+
+
+def test_nulls_in_any_column(spark):
+    full = (1, 1, "a", "forecast", 0, T0, 24, T0, 1, 0.04, 5000.0, T0)
+    fcst = spark.createDataFrame([full] + [tuple(None if i == k else (v if i else 10 + k) for i, v in enumerate(full)) for k in range(1, 12)], FCST)
+    attrs = spark.createDataFrame([(1, "x", "tp_daily", "mm", None, None), (None, None, None, None, None, None)], ATTRS)
+    obs = spark.createDataFrame([(1, "s", T0, -5.0, T0, None, None, None), (2, None, None, None, None, None, None, None), (3, "s", None, 1.0, None, None, None, None)], OBS)
+    out = {(r.tbl, r.row_id) for r in spikes.implausible_readings(obs, fcst, attrs).collect()}
+    assert ("station_obs", 1) in out and ("fcst_daily", 1) in out and ("station_obs", 2) not in out and ("fcst_daily", 20) not in out
+    daily = spark.createDataFrame([(1, 1, 3.0, "mm"), (None, None, None, None)], "row_id long, file_id long, precip double, remark string")
+    assert unify.other_units(fcst, daily, attrs).count() >= 0
+    catalog = spark.createDataFrame([(None, None, None, '{"lon":1}'), (1, "f", 1, None)], "record_id long, feed string, file_seq int, payload string")
+    assert drift.field_changes(catalog).count() == 0
+    lines = spark.createDataFrame([(None, None, None, None), (1, "f", None, "x"), (2, None, 7, "20240101,1")], "line_id long, file_name string, line_no int, raw string")
+    assert rawlines.parse_lines(lines).count() == 3
