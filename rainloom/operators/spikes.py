@@ -29,8 +29,8 @@ _RECORD = "tbl string, src string, block int, kind string, pos int, equal double
 
 
 def station_readings(obs: DataFrame) -> DataFrame:
-    """(tbl, src, block, series, ord, value, row_id) of the readings of `station_obs` with a station and a time; missing values are no readings."""
-    return obs.filter(is_reading(F.col("prcp")) & F.col("time").isNotNull() & F.col("station").isNotNull()).select(
+    """(tbl, src, block, series, ord, value, row_id) of the readings of `station_obs` with an id, a station and a time; missing values are no readings."""
+    return obs.filter(is_reading(F.col("prcp")) & F.col("time").isNotNull() & F.col("station").isNotNull() & F.col("obs_id").isNotNull()).select(
         F.lit("station_obs").alias("tbl"),
         F.col("station").alias("src"),
         F.floor(F.datediff("time", F.lit("1970-01-01")) / STATION_BLOCK_DAYS).cast("int").alias("block"),
@@ -42,13 +42,16 @@ def station_readings(obs: DataFrame) -> DataFrame:
 
 
 def forecast_readings(fcst: DataFrame, attrs: DataFrame) -> DataFrame:
-    """The same of `fcst_daily.tp_daily` in mm; a series is one (file_id, number, cell_id) and lies in one block."""
-    return convert_forecast(fcst, attrs).filter(F.col("tp_daily_mm").isNotNull() & ~F.isnan("tp_daily_mm")).select(
+    """The same of `fcst_daily.tp_daily` in mm; a series is one (file_id, number, cell_id) and lies in one block.
+
+    Rows without an id or a file are no readings; those without a number form one series of their file, those without a step stand before its first step.
+    """
+    return convert_forecast(fcst, attrs).filter(F.col("tp_daily_mm").isNotNull() & ~F.isnan("tp_daily_mm") & F.col("fcst_id").isNotNull()).select(
         F.lit("fcst_daily").alias("tbl"),
         F.concat_ws("|", "model", "cell_id").alias("src"),
         F.floor(F.year("init_time") / FORECAST_BLOCK_YEARS).cast("int").alias("block"),
-        (F.col("file_id") * 1024 + F.col("number")).alias("series"),
-        F.col("step_h").cast("long").alias("ord"),
+        (F.col("file_id") * 1024 + F.coalesce("number", F.lit(1023))).alias("series"),
+        F.coalesce(F.col("step_h").cast("long"), F.lit(-1)).alias("ord"),
         F.col("tp_daily_mm").alias("value"),
         F.col("fcst_id").alias("row_id"),
     )
