@@ -83,21 +83,21 @@ def forecast_units(fcst: DataFrame, attrs: DataFrame) -> DataFrame:
 
 
 def convert_forecast(fcst: DataFrame, attrs: DataFrame) -> DataFrame:
-    """`fcst` with `tp_unit`, `tp_daily_unit`, `tp_m` and `tp_daily_mm`. Nulls and NaN stay; every row is kept."""
+    """`fcst` with `tp_unit`, `tp_daily_unit`, `tp_m` and `tp_daily_mm`, in place of columns of these names. Nulls and NaN stay; every row is kept."""
     mm = lambda c: F.col(c) * factor_column(F.col(f"{c}_unit"))
-    return fcst.join(forecast_units(fcst, attrs), "file_id", "left").withColumns({"tp_m": mm("tp") / 1000.0, "tp_daily_mm": mm("tp_daily")})
+    return fcst.drop("tp_unit", "tp_daily_unit").join(forecast_units(fcst, attrs), "file_id", "left").withColumns({"tp_m": mm("tp") / 1000.0, "tp_daily_mm": mm("tp_daily")})
 
 
 def convert_observations(obs: DataFrame, attrs: DataFrame) -> DataFrame:
-    """`obs` with `precip_unit` and `precip_mm`; a remark on the unit of its value outranks the file."""
-    noted = obs.withColumn("noted", F.when(F.col("remark").isNotNull(), unit_of_statement("remark")))
+    """`obs` with `precip_unit` and `precip_mm`, in place of columns of these names; a remark on the unit of its value outranks the file."""
+    noted = obs.drop("precip_unit", "precip_mm").withColumn("_noted_unit", F.when(F.col("remark").isNotNull(), unit_of_statement("remark")))
     sizes = obs.filter("remark is null").groupBy("file_id").agg(F.percentile_approx(_positive("precip"), 0.5, 200).alias("size"))
-    known = file_units(obs.select("file_id").distinct().join(sizes, "file_id", "left").select("file_id", F.lit("precip").alias("field"), "size"), attrs).drop("field")
+    known = file_units(obs.select("file_id").distinct().join(sizes, "file_id", "left").select("file_id", F.lit("precip").alias("field"), "size"), attrs).select("file_id", F.col("unit").alias("_file_unit"))
     return (
         noted.join(known, "file_id", "left")
-        .withColumn("precip_unit", F.coalesce("noted", "unit"))
+        .withColumn("precip_unit", F.coalesce("_noted_unit", "_file_unit"))
         .withColumn("precip_mm", F.col("precip") * factor_column(F.col("precip_unit")))
-        .drop("noted", "unit")
+        .drop("_noted_unit", "_file_unit")
     )
 
 
