@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rainloom.functions import matching
+from rainloom.sources.tables import staged
 
 FIELDS = tuple(matching.ALIASES)
 BUCKETS = 16
@@ -103,10 +104,17 @@ def _match_files(prev: pd.Series, paths: pd.Series) -> pd.Series:
 
 
 def matched(parts: DataFrame) -> DataFrame:
-    """(feed, file_seq, first, field, path, kind, prev_path, prev_kind): where each field stands in each file and stood in the file before."""
-    order = Window.partitionBy("feed").orderBy("file_seq")
-    files = profiles(parts).withColumn("prev", F.lag("paths").over(order))
-    placed = files.select("feed", "file_seq", F.col("prev").isNull().alias("first"), F.explode(F.pandas_udf(_match_files, _PLACE)("prev", "paths")).alias("m"))
+    """(feed, file_seq, first, field, path, kind, prev_path, prev_kind): where each field stands in each file and stood in the file before.
+
+    Only the keys of files are put in order per feed; the profiles are joined to them, so a feed with many files is matched in many tasks.
+    Records without a feed or a number belong to no file.
+    """
+    files = staged(profiles(parts.filter("feed is not null and file_seq is not null")))
+    before = F.lag("file_seq").over(Window.partitionBy("feed").orderBy("file_seq"))
+    order = files.select("feed", "file_seq", before.alias("prev_seq"))
+    prev = files.select("feed", F.col("file_seq").alias("prev_seq"), F.col("paths").alias("prev"))
+    pairs = order.join(files, ["feed", "file_seq"]).join(prev, ["feed", "prev_seq"], "left")
+    placed = pairs.select("feed", "file_seq", F.col("prev").isNull().alias("first"), F.explode(F.pandas_udf(_match_files, _PLACE)("prev", "paths")).alias("m"))
     return placed.select("feed", "file_seq", "first", "m.*")
 
 
