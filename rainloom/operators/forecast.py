@@ -36,11 +36,11 @@ def decumulate(df: DataFrame, series: list[str], step: str = "step_h", value: st
 
 
 def accumulate(daily: DataFrame, period_days: DataFrame, keys: list[str], on: list[str], value: str = "tp_daily", day: str = "day") -> DataFrame:
-    """Sum of `value` per `keys` and period, 0 where there is nothing; `period_days` has one row per period and day."""
+    """Sum of `value` per `keys` and period, 0 where there is nothing, and `n_known`, how many values it holds; `period_days` has one row per period and day."""
     ids = [c for c in period_days.columns if c not in (*on, "day")]
     frame = daily.select(*keys).distinct().join(period_days.select(*on, *ids).distinct(), on)
-    sums = daily.join(period_days.withColumnRenamed("day", day), [*on, day]).groupBy(*keys, *ids).agg(F.sum(known(F.col(value))).alias("s"))
-    return frame.join(sums, [*dict.fromkeys([*keys, *ids])], "left").withColumn("acc_mm", F.coalesce("s", F.lit(0.0))).drop("s")
+    sums = daily.join(period_days.withColumnRenamed("day", day), [*on, day]).groupBy(*keys, *ids).agg(F.sum(known(F.col(value))).alias("s"), F.count(known(F.col(value))).alias("n"))
+    return frame.join(sums, [*dict.fromkeys([*keys, *ids])], "left").select(*frame.columns, F.coalesce("s", F.lit(0.0)).alias("acc_mm"), F.coalesce("n", F.lit(0)).alias("n_known"))
 
 
 def accumulate_seasons(daily: DataFrame, seasons: dict[str, tuple[int, int]], keys: list[str], value: str = "tp_daily", day: str = "day") -> DataFrame:
@@ -60,12 +60,12 @@ def dense(daily: DataFrame, members: list[int], years: list[int], periods: list[
     lit = lambda xs: F.explode(F.array(*[F.lit(x) for x in xs]))
     frame = daily.select("model", "cell_id").distinct().withColumn("number", lit(members)).withColumn("year", lit(years)).withColumn("period_id", lit(periods))
     keys = ["model", "cell_id", "number", "year", "period_id"]
-    sums = daily.groupBy(*keys).agg(F.sum("tp_daily").alias("s"))
+    sums = daily.groupBy(*keys).agg(F.sum(known(F.col("tp_daily"))).alias("s"))
     return frame.join(sums, keys, "left").select(*keys, F.coalesce("s", F.lit(0.0)).alias("acc_mm"))
 
 
 def climatology(hindcast: DataFrame) -> DataFrame:
-    return hindcast.groupBy(*CELL).agg(F.avg("acc_mm").alias("clim_mean"))
+    return hindcast.groupBy(*CELL).agg(F.avg(known(F.col("acc_mm"))).alias("clim_mean"))
 
 
 def anomalies(forecast: DataFrame, hindcast: DataFrame) -> DataFrame:
@@ -75,14 +75,14 @@ def anomalies(forecast: DataFrame, hindcast: DataFrame) -> DataFrame:
 
 def thresholds(hindcast: DataFrame) -> DataFrame:
     """Exact linear quantiles of the pooled members and years, the mean, and whether it is dry. A group holds years times members."""
-    pooled = hindcast.groupBy(*CELL).agg(F.array_sort(F.collect_list("acc_mm")).alias("v"), F.avg("acc_mm").alias("clim_mean"))
+    pooled = hindcast.groupBy(*CELL).agg(F.array_sort(F.collect_list(known(F.col("acc_mm")))).alias("v"), F.avg(known(F.col("acc_mm"))).alias("clim_mean"))
     p = lambda a, b: F.lit(a / b)
     return pooled.select(*CELL, *[quantile(F.col("v"), p(*q)).alias(n) for n, q in QUANTILES.items()], "clim_mean", F.coalesce(F.col("clim_mean") < DRY_MM, F.lit(False)).alias("dry_mask"))
 
 
 def probabilities(forecast: DataFrame, limits: DataFrame) -> DataFrame:
     """Shares of members below, within and above the thresholds; missing members count in the denominator only."""
-    v, n = F.col("acc_mm"), F.count("*")
+    v, n = known(F.col("acc_mm")), F.count("*")
     share = lambda c: F.sum(flag(c)) / n
     return forecast.join(limits, CELL).groupBy(*CELL).agg(
         share(v < F.col("tercile_lower")).alias("prob_BN"),
@@ -101,17 +101,17 @@ def coherence(probs: DataFrame) -> DataFrame:
 
 def exceedance(forecast: DataFrame, limits_mm: tuple[int, ...] = EXCEEDANCE_MM, keys: list[str] = CELL) -> DataFrame:
     """Share of members at or above each limit; the limits are unfolded after the aggregation."""
-    shares = forecast.groupBy(*keys).agg(F.array(*[F.struct(F.lit(t).alias("threshold_mm"), (F.sum(flag(F.col("acc_mm") >= t)) / F.count("*")).alias("prob")) for t in sorted(limits_mm)]).alias("e"))
+    shares = forecast.groupBy(*keys).agg(F.array(*[F.struct(F.lit(t).alias("threshold_mm"), (F.sum(flag(known(F.col("acc_mm")) >= t)) / F.count("*")).alias("prob")) for t in sorted(limits_mm)]).alias("e"))
     return shares.select(*keys, F.inline("e"))
 
 
 def ensemble_mean(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.avg(value).alias("ens_mean"))
+    return df.groupBy(*keys).agg(F.avg(known(F.col(value))).alias("ens_mean"))
 
 
 def dispersion(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     """Each member less the mean of its ensemble."""
-    return df.withColumn("deviation", F.col(value) - F.avg(value).over(Window.partitionBy(*keys)))
+    return df.withColumn("deviation", known(F.col(value)) - F.avg(known(F.col(value))).over(Window.partitionBy(*keys)))
 
 
 def light_products(forecast: DataFrame, hindcast: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ def grid_mask(grid: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _axis(source: DataFrame, name: str) -> list[float]:
-    values = [r[0] for r in source.select(name).distinct().orderBy(name).limit(MAX_AXIS + 1).collect()]
+    values = [r[0] for r in source.select(name).filter(known(F.col(name)).isNotNull()).distinct().orderBy(name).limit(MAX_AXIS + 1).collect()]
     if len(values) > MAX_AXIS:
         raise ValueError(f"{name} isn't the axis of a grid")
     return values
@@ -35,7 +35,8 @@ def _bracket(x: Column, axis: list[float]) -> Column:
 def bilinear(source: DataFrame, targets: DataFrame, key: str, value: str) -> DataFrame:
     """(key, value) at (longitude, latitude) of each target; null outside the grid and where one of the four corners is missing.
 
-    `source` has one row per (latitude, longitude); the axes of its grid are at most MAX_AXIS values.
+    `source` has one row per (latitude, longitude); the axes of its grid are at most MAX_AXIS values. Source rows
+    without coordinates count for nothing; targets without coordinates get null.
     """
     lats, lons = _axis(source, "latitude"), _axis(source, "longitude")
     if len(lats) < 2 or len(lons) < 2:

@@ -1,13 +1,13 @@
 """Leave-one-out verification of hindcasts against observations.
 
-`hindcast` is a dense `acc` table, `observed` has (cell_id, period_id, year, acc_mm) with null for missing sums.
+`hindcast` is a dense `acc` table, `observed` has (cell_id, period_id, year, acc_mm) with null or NaN for missing sums.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rainloom.functions.expr import flag, quantile
+from rainloom.functions.expr import flag, known, quantile
 
 CELL = ["model", "cell_id", "period_id"]
 BINS = 10
@@ -18,7 +18,7 @@ def loo_terciles(acc: DataFrame, keys: list[str]) -> DataFrame:
 
     A group (years times members) stays one row; the values of the other years are taken from its sorted array, so nothing is joined by inequality.
     """
-    pooled = acc.filter("acc_mm is not null").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("acc_mm", "year"))).alias("v"))
+    pooled = acc.filter(known(F.col("acc_mm")).isNotNull()).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("acc_mm", "year"))).alias("v"))
     years = acc.select(*keys, "year").distinct()
     other = F.transform(F.filter("v", lambda x: x["year"] != F.col("year")), lambda x: x["acc_mm"])
     rows = years.join(pooled, keys).withColumn("o", other)
@@ -28,7 +28,7 @@ def loo_terciles(acc: DataFrame, keys: list[str]) -> DataFrame:
 def loo_probabilities(hindcast: DataFrame) -> DataFrame:
     """(keys, year, pBN, pNN, pAN); what is neither below nor above counts as near normal."""
     joined = hindcast.join(loo_terciles(hindcast, CELL), [*CELL, "year"])
-    p = joined.groupBy(*CELL, "year").agg(F.avg(flag(F.col("acc_mm") < F.col("lower"))).alias("pBN"), F.avg(flag(F.col("acc_mm") > F.col("upper"))).alias("pAN"))
+    p = joined.groupBy(*CELL, "year").agg(F.avg(flag(known(F.col("acc_mm")) < F.col("lower"))).alias("pBN"), F.avg(flag(known(F.col("acc_mm")) > F.col("upper"))).alias("pAN"))
     return p.select(*CELL, "year", "pBN", (F.lit(1.0) - F.col("pBN") - F.col("pAN")).alias("pNN"), "pAN")
 
 
@@ -36,7 +36,7 @@ def observed_category(observed: DataFrame) -> DataFrame:
     """(cell_id, period_id, year, obs_cat): 0 below, 1 near, 2 above normal by the terciles of the other years; missing counts as 1."""
     keys = ["cell_id", "period_id"]
     limits = observed.select(*keys, "year", "acc_mm").join(loo_terciles(observed, keys), [*keys, "year"], "left")
-    cat = F.when(F.col("acc_mm") < F.col("lower"), 0).when(F.col("acc_mm") > F.col("upper"), 2).otherwise(1)
+    cat = F.when(known(F.col("acc_mm")) < F.col("lower"), 0).when(known(F.col("acc_mm")) > F.col("upper"), 2).otherwise(1)
     return limits.select(*keys, "year", cat.cast("tinyint").alias("obs_cat"))
 
 
@@ -78,9 +78,9 @@ def roc_areas(joined: DataFrame, keys: list[str] = CELL) -> DataFrame:
 
 def ensemble_skill(hindcast: DataFrame, observed: DataFrame) -> DataFrame:
     """Correlation of anomalies from each series' own mean and RMSE of the ensemble mean; null for a constant series."""
-    ens = hindcast.groupBy(*CELL, "year").agg(F.avg("acc_mm").alias("e"))
+    ens = hindcast.groupBy(*CELL, "year").agg(F.avg(known(F.col("acc_mm"))).alias("e"))
     w = Window.partitionBy(*CELL)
-    x = ens.join(observed.select("cell_id", "period_id", "year", F.col("acc_mm").alias("o")), ["cell_id", "period_id", "year"])
+    x = ens.join(observed.select("cell_id", "period_id", "year", known(F.col("acc_mm")).alias("o")), ["cell_id", "period_id", "year"])
     x = x.withColumns({"ea": F.col("e") - F.avg("e").over(w), "oa": F.col("o") - F.avg("o").over(w)})
     den = F.sqrt(F.sum(F.col("ea") * F.col("ea")) * F.sum(F.col("oa") * F.col("oa")))
     return x.groupBy(*CELL).agg(F.try_divide(F.sum(F.col("ea") * F.col("oa")), den).alias("corr_ens"), F.sqrt(F.avg((F.col("e") - F.col("o")) * (F.col("e") - F.col("o")))).alias("rmse_ens"))

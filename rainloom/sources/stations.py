@@ -64,7 +64,7 @@ def station_rows(lines: DataFrame, fmt: str | None = None, month_day: str = "08-
     label = F.upper(F.get("fields", F.lit(0)))
     header = F.when(F.col("line_no") == 1, "station").when((F.col("line_no") <= 3) & label.startswith("LON"), "longitude").when((F.col("line_no") <= 3) & label.startswith("LAT"), "latitude")
     header = header.when((F.col("line_no") == 4) & (F.col("fmt") == "cdt") & label.rlike("ELEV|DAILY|DEKAD|MONTH"), "elevation")
-    cells = rows.withColumn("role", header).select("file_name", "line_no", "fmt", "role", F.get("fields", F.lit(0)).alias("key"), F.posexplode(F.slice("fields", 2, 100_000)).alias("pos", "cell"))
+    cells = rows.withColumn("role", header).select("file_name", "line_no", "fmt", "role", F.get("fields", F.lit(0)).alias("key"), F.posexplode(F.slice("fields", F.lit(2), F.greatest(F.size("fields") - 1, F.lit(0)))).alias("pos", "cell"))
     pick = lambda r: F.max(F.when(F.col("role") == r, F.col("cell")))
     heads = cells.filter("role is not null").groupBy("file_name", "pos").agg(pick("station").alias("station"), *[pick(r).try_cast("double").alias(r) for r in ("longitude", "latitude", "elevation")]).filter("station is not null")
     heads = nudged(nudged(heads, "longitude", "pos", ["file_name"]), "latitude", "pos", ["file_name"])
