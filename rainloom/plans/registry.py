@@ -354,6 +354,19 @@ def station_cdt(spark: SparkSession, d: str) -> DataFrame:
     return st.station_rows(read(spark, d, "station_lines"), "cdt")
 
 
+@query
+def station_cpt(spark: SparkSession, d: str) -> DataFrame:
+    """Yearly amounts of each station written as a CPT file and parsed again."""
+    v = F.when(F.col("prcp") >= 0, finite("prcp"))
+    years = read(spark, d, "station_obs").filter("station is not null and time is not null").groupBy("station", F.year("time").alias("year")).agg(F.round(F.sum(v) + 1e-9, 2).alias("total"))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    where = read(spark, d, "stations").filter("station is not null").groupBy("station").agg(F.min("longitude").alias("longitude"), F.min("latitude").alias("latitude"))
+    heads = where.select("station", F.posexplode(F.array(F.concat(F.lit('STATION,"'), "station", F.lit('"')), F.concat(F.lit("LAT,"), text("latitude")), F.concat(F.lit("LON,"), text("longitude")))).alias("i", "raw"))
+    rows = years.join(where, "station", "left_semi").select("station", (F.col("year") + 4).alias("line_no"), F.concat(F.col("year").cast("string"), F.lit(","), text("total")).alias("raw"))
+    lines = heads.select("station", (F.col("i") + 1).alias("line_no"), "raw").unionByName(rows)
+    return st.station_rows(lines.select(F.col("station").alias("file_name"), "line_no", F.col("line_no").cast("long").alias("line_id"), "raw"), "cpt").select("station", "longitude", "latitude", "time", "prcp")
+
+
 @query
 def station_nudge(spark: SparkSession, d: str) -> DataFrame:
     s = read(spark, d, "stations").select("station", "cadence_h", "longitude", "latitude")
@@ -472,6 +485,57 @@ def map_layers_skill(spark: SparkSession, d: str) -> DataFrame:
     return s.select(*fc.CELL, level_bin(F.round("rpss", 6), config.SKILL_LEVELS).alias("level"))
 
 
+@query
+def map_layers_anomaly(spark: SparkSession, d: str) -> DataFrame:
+    """Anomaly of each member inside the zones, with its level (cube)."""
+    h, f = acc(spark, d)
+    a = _zoned(fc.anomalies(f, h), spark, d).withColumn("anomaly", F.when(F.col("in_zone"), F.round("anomaly", 6)))
+    return a.select(*fc.CELL, "number", "anomaly", level_bin(F.col("anomaly"), config.LEVELS["month"]).alias("level"))
+
+
+@query
+def map_layers_mean(spark: SparkSession, d: str) -> DataFrame:
+    """Ensemble-mean anomaly inside the zones, with its level (cube)."""
+    m = _zoned(light(spark, d), spark, d).withColumn("mean", F.when(F.col("in_zone"), F.round(F.col("ens_mean_anomaly").cast("double"), 4)))
+    return m.select(*fc.CELL, "mean", level_bin(F.col("mean"), config.LEVELS["month"]).alias("level"))
+
+
+@query
+def map_layers_dispersion(spark: SparkSession, d: str) -> DataFrame:
+    """Members less their ensemble mean inside the zones, with the limit of the colours of each model and period (cube)."""
+    h, f = acc(spark, d)
+    x = _zoned(fc.dispersion(f, "acc_mm", fc.CELL), spark, d)
+    limit = F.greatest(F.lit(1.0), 0.8 * F.max(F.abs("deviation")))
+    x = x.join(x.groupBy("model", "period_id").agg(limit.alias("colour_limit")), ["model", "period_id"])
+    return x.select(*fc.CELL, "number", F.when(F.col("in_zone"), F.round("deviation", 6)).alias("deviation"), *r6("colour_limit"))
+
+
+@query
+def map_layers_terciles(spark: SparkSession, d: str) -> DataFrame:
+    """Outstanding tercile inside the zones, D where it is dry (cube)."""
+    p = _zoned(probs(spark, d).join(limits(spark, d).select(*fc.CELL, "dry_mask"), fc.CELL), spark, d)
+    c = F.when(F.col("dry_mask"), "D").otherwise(fc.summary_class(F.col("prob_BN"), F.col("prob_NN"), F.col("prob_AN")))
+    return p.select(*fc.CELL, F.when(F.col("in_zone"), c).alias("class"))
+
+
+@query
+def multimodel_tercile_panel(spark: SparkSession, d: str) -> DataFrame:
+    """Outstanding tercile of each model with that of all models beside it (cube)."""
+    named = lambda df, model, p, dry: df.select(model.alias("model"), "cell_id", "period_id", *[F.round(F.col(f"{p}_{k}").cast("double"), 6).alias(k) for k in ("BN", "NN", "AN")], dry.alias("dry"))
+    each = named(light(spark, d), F.col("model"), "prob", F.col("dry_mask") == 1)
+    both = each.unionByName(named(_multi(spark, d), F.lit("multi_model"), "norm", F.col("dry")))
+    return both.select("model", "cell_id", "period_id", F.when(F.coalesce("dry", F.lit(False)), "D").otherwise(fc.summary_class(F.col("BN"), F.col("NN"), F.col("AN"))).alias("class"))
+
+
+@query
+def reliability_diagram(spark: SparkSession, d: str) -> DataFrame:
+    """Points of the reliability curves: the bins that hold forecasts, with their share of all (cube)."""
+    zone = read(spark, d, "grid").filter("in_zone").select("cell_id")
+    bins = vf.reliability(verification(spark, d).join(zone, "cell_id", "left_semi"), ["period_id"]).filter("n > 0")
+    whole = bins.groupBy("period_id", "category").agg(F.sum("n").alias("all"))
+    return bins.join(whole, ["period_id", "category"]).select("period_id", "category", "bin", "n", *r6("mean_fcst", "obs_freq"), F.round(F.col("n") / F.col("all"), 6).alias("share"))
+
+
 @query
 def multimodel_panel(spark: SparkSession, d: str) -> DataFrame:
     """Ensemble-mean anomalies of the models with that of all models beside them (cube)."""

@@ -104,6 +104,8 @@ def _levels(x: str, levels: tuple[float, ...]) -> str:
     return f"case when {x} is not null then " + " + ".join(f"(case when {x} >= {v} then 1 else 0 end)" for v in levels) + " end"
 
 
+_CLASS = "case when {dry} then 'D' when {a} > 0.38e0 and ({b} < 0.33e0 or {n} > 0.33e0) then 'A' when {b} > 0.38e0 and ({a} < 0.33e0 or {n} > 0.33e0) then 'B' when {n} > 0.38e0 and {a} < 0.33e0 and {b} < 0.33e0 then 'N' else 'W' end"
+
 ORACLE: dict[str, str] = {
     "decumulate": f"""with {_FC}, x as (select fcst_id, step_h, case when not isnan(tp) then tp end * 1000.0e0 v, lag(step_h) over w ps, lag(case when not isnan(tp) then tp end * 1000.0e0) over w pv, row_number() over w k from fk window w as (partition by file_id, number, cell_id order by step_h)),
 d as (select fcst_id, case when k = 1 then case when step_h = 0 then 0.0e0 else v end when step_h - ps = 24 then v - pv end t from x) select fcst_id, round(case when t < 0 then 0.0e0 else t end + 1e-9, 6) tp_daily from d""",
@@ -181,5 +183,17 @@ case type when 'decade' then 'Décade ' || case when day("start") <= 10 then '1'
     + f"), q as (select {_KEYS}, layer, case when in_zone and not dry_mask then round(p*100, 6) end percent from l join lim using (model, cell_id, period_id) left join grid using (cell_id)) select *, cast(floor(least(percent, 99.0e0)/10) as int) bin from q",
     "map_layers_exceedance": f"with {_CUBE}, e as (select {_KEYS}, threshold_mm, sum(case when acc_mm >= threshold_mm then 1 else 0 end)/cast(count(*) as double) prob from f, (values {', '.join(f'({t})' for t in config.EXCEEDANCE_MM)}) t(threshold_mm) group by all) select {_KEYS}, threshold_mm, case when in_zone then round(prob*100, 6) end percent from e left join grid using (cell_id)",
     "map_layers_skill": f"with {_LOO}, s as ({_scores('pairs', _KEYS)}), k as (select {_KEYS}, round(rpss, 6) r from s) select {_KEYS}, {_levels('r', config.SKILL_LEVELS)} as level from k",
+    "map_layers_anomaly": f"with {_LIMITS}, a as (select {_KEYS}, number, case when in_zone then round(acc_mm - clim_mean, 6) end anomaly from f join lim using (model, cell_id, period_id) left join grid using (cell_id)) select *, cast({_levels('anomaly', config.LEVELS['month'])} as int) as level from a",
+    "map_layers_mean": f"with {_LIGHT}, a as (select {_KEYS}, case when in_zone then round(cast(ens_mean_anomaly as double), 4) end mean from light left join grid using (cell_id)) select *, cast({_levels('mean', config.LEVELS['month'])} as int) as level from a",
+    "map_layers_dispersion": f"with {_CUBE}, x as (select {_KEYS}, number, acc_mm - avg(acc_mm) over (partition by model, cell_id, period_id) dev from f), y as (select *, greatest(1.0e0, 0.8e0 * max(abs(dev)) over (partition by model, period_id)) lim from x) select {_KEYS}, number, case when in_zone then round(dev, 6) end deviation, round(lim, 6) colour_limit from y left join grid using (cell_id)",
+    "map_layers_terciles": f"with {_PROBS} select {_KEYS}, case when in_zone then {_CLASS.format(dry='dry_mask', b='\"prob_BN\"', n='\"prob_NN\"', a='\"prob_AN\"')} end as class from probs join lim using (model, cell_id, period_id) left join grid using (cell_id)",
+    "multimodel_tercile_panel": f"""with {_LIGHT}, p as (select model, cell_id, period_id, "prob_BN" b, "prob_NN" n, "prob_AN" a, 1 s, dry_mask = 1 dry from light union all select 'multi_model', cell_id, period_id, "prob_BN", "prob_NN", "prob_AN", case when "prob_BN"+"prob_NN"+"prob_AN" = 0 then 1 else "prob_BN"+"prob_NN"+"prob_AN" end, dry from multi),
+q as (select model, cell_id, period_id, round(cast(b as double)/s, 6) b, round(cast(n as double)/s, 6) n, round(cast(a as double)/s, 6) a, dry from p) select model, cell_id, period_id, {_CLASS.format(dry='dry', b='b', n='n', a='a')} as class from q""",
+    "reliability_diagram": f"""with {_LOO}, z as (select pairs.* from pairs join grid using (cell_id) where in_zone),
+l as (select period_id, 'BN' category, p0 p, case when obs_cat=0 then 1.0e0 else 0.0e0 end e from z union all select period_id, 'NN', p1, case when obs_cat=1 then 1.0e0 else 0.0e0 end from z union all select period_id, 'AN', p2, case when obs_cat=2 then 1.0e0 else 0.0e0 end from z),
+b as (select cast(i as int) bin, i*0.1e0 lo, (i+1)*0.1e0 hi from range(0,10) r(i)), s as (select period_id, category, bin, count(*) n, avg(p) mean_fcst, avg(e) obs_freq from l join b on p >= lo and (p < hi or (bin = 9 and p <= 1.0e0)) group by all)
+select period_id, category, bin, n, round(mean_fcst, 6) mean_fcst, round(obs_freq, 6) obs_freq, round(n/sum(n) over (partition by period_id, category), 6) share from s""",
+    "station_cpt": """with y as (select station, year(time) yr, round(sum(case when not isnan(prcp) and prcp between 0 and 1900 then prcp end) + 1e-9, 2) prcp from station_obs where station is not null and time is not null group by all),
+s as (select station, min(longitude) longitude, min(latitude) latitude from stations where station is not null group by 1) select station, longitude, latitude, make_date(yr, 8, 1) as time, prcp from y join s using (station)""",
     "multimodel_panel": f"with {_LIGHT} select model, cell_id, period_id, round(cast(ens_mean_anomaly as double), 4) ens_mean_anomaly from light union all select 'multi_model', cell_id, period_id, round(ens_mean_anomaly, 4) from multi",
 }
