@@ -35,3 +35,8 @@ def subfolder(kind: Column) -> Column:
 
 def safe_name(text: Column) -> Column:
     return F.translate(text, "/ ", "-_")
+
+
+def model_title(model: Column) -> Column:
+    """The display name of a model; its own name where it has none."""
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in config.MODEL_NAMES.items() for x in kv])[model], model)

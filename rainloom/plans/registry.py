@@ -445,6 +445,13 @@ def period_label(spark: SparkSession, d: str) -> DataFrame:
     return _all_periods(spark, d).select("file_id", "type", "start", "end", labels.period_label(F.col("type"), F.col("start"), F.col("end")).alias("title"))
 
 
+@query
+def model_titles(spark: SparkSession, d: str) -> DataFrame:
+    """Display name, rows and members of each model."""
+    m = read(spark, d, "fcst_daily").groupBy("model").agg(F.count("*").alias("n"), (F.max("number") - F.min("number") + 1).alias("members"))
+    return m.select("model", labels.model_title(F.col("model")).alias("title"), "n", "members")
+
+
 @query
 def output_names(spark: SparkSession, d: str) -> DataFrame:
     """Subfolder and safe name of each period."""
@@ -465,11 +472,11 @@ def _zoned(df: DataFrame, spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def map_layers_probability(spark: SparkSession, d: str) -> DataFrame:
-    """Percent of each probability inside the zones where it isn't dry, with its ten-percent bin (cube)."""
+    """Percent of each probability inside the zones where it isn't dry, with its ten-percent bin; null elsewhere (cube)."""
     p = _zoned(probs(spark, d).join(limits(spark, d).select(*fc.CELL, "dry_mask"), fc.CELL), spark, d)
     long = p.select(*fc.CELL, "in_zone", "dry_mask", F.inline(F.array(*[F.struct(F.lit(c).alias("layer"), F.col(c).alias("p")) for c in config.PROBABILITIES])))
     percent = F.when(F.coalesce("in_zone", F.lit(False)) & ~F.col("dry_mask"), F.round(F.col("p") * 100, 6))
-    return long.select(*fc.CELL, "layer", percent.alias("percent"), F.floor(F.least(percent, F.lit(99.0)) / 10).cast("int").alias("bin"))
+    return long.select(*fc.CELL, "layer", percent.alias("percent"), F.when(percent.isNotNull(), F.floor(F.least(percent, F.lit(99.0)) / 10)).cast("double").alias("bin"))
 
 
 @query
@@ -490,14 +497,14 @@ def map_layers_anomaly(spark: SparkSession, d: str) -> DataFrame:
     """Anomaly of each member inside the zones, with its level (cube)."""
     h, f = acc(spark, d)
     a = _zoned(fc.anomalies(f, h), spark, d).withColumn("anomaly", F.when(F.col("in_zone"), F.round("anomaly", 6)))
-    return a.select(*fc.CELL, "number", "anomaly", level_bin(F.col("anomaly"), config.LEVELS["month"]).alias("level"))
+    return a.select(*fc.CELL, "number", "anomaly", level_bin(F.col("anomaly"), config.LEVELS["month"]).cast("double").alias("level"))
 
 
 @query
 def map_layers_mean(spark: SparkSession, d: str) -> DataFrame:
     """Ensemble-mean anomaly inside the zones, with its level (cube)."""
     m = _zoned(light(spark, d), spark, d).withColumn("mean", F.when(F.col("in_zone"), F.round(F.col("ens_mean_anomaly").cast("double"), 4)))
-    return m.select(*fc.CELL, "mean", level_bin(F.col("mean"), config.LEVELS["month"]).alias("level"))
+    return m.select(*fc.CELL, "mean", level_bin(F.col("mean"), config.LEVELS["month"]).cast("double").alias("level"))
 
 
 @query

@@ -176,15 +176,18 @@ r as (select station, case when count(v) = 4 then sum(k*v) end p from c left joi
     "period_label": f"""with {_SPANS}, {_MONTHS}, p as ({_M} union all {_D} union all {_S} union all {_C}) select file_id, type, "start", "end",
 case type when 'decade' then 'Décade ' || case when day("start") <= 10 then '1' when day("start") <= 20 then '2' else '3' end || ' - ' || strftime("start", '%B %Y') || chr(10) || {_SPAN} when 'month' then strftime("start", '%B %Y') || chr(10) || {_SPAN}
  when 'season' then 'Saison ' || strftime("start", '%b') || '-' || strftime("end", '%b %Y') || chr(10) || {_SPAN} else 'Période personnalisée' || chr(10) || '(' || {_FULL} || ')' end title from p""",
+    "model_titles": "select model, case model "
+    + " ".join(f"when '{k}' then '{v}'" for k, v in config.MODEL_NAMES.items())
+    + " else model end title, count(*) n, cast(max(number) - min(number) + 1 as int) members from fcst_daily group by model",
     "output_names": f"with {_SPANS}, {_MONTHS}, p as ({_M} union all {_D} union all {_S} union all {_C}) select file_id, type, label, case type when 'custom' then type else type || 's' end subfolder, type || '-' || replace(label, '/', '-') || '_x' as name from p",
     "contour_level_bin": f"with {_LIMITS}, a as (select {_KEYS}, round(avg(acc_mm - clim_mean), 6) m from f join lim using (model, cell_id, period_id) group by all) select {_KEYS}, {_levels('m', config.LEVELS['month'])} as level from a",
     "map_layers_probability": f"with {_PROBS}, l as ("
     + " union all ".join(f"select {_KEYS}, {n.replace(chr(34), chr(39)) if n[0] == chr(34) else chr(39) + n + chr(39)} layer, {n} p from probs" for n in _NAMES)
-    + f"), q as (select {_KEYS}, layer, case when in_zone and not dry_mask then round(p*100, 6) end percent from l join lim using (model, cell_id, period_id) left join grid using (cell_id)) select *, cast(floor(least(percent, 99.0e0)/10) as int) bin from q",
+    + f"), q as (select {_KEYS}, layer, case when in_zone and not dry_mask then round(p*100, 6) end percent from l join lim using (model, cell_id, period_id) left join grid using (cell_id)) select *, case when percent is not null then cast(floor(least(percent, 99.0e0)/10) as double) end bin from q",
     "map_layers_exceedance": f"with {_CUBE}, e as (select {_KEYS}, threshold_mm, sum(case when acc_mm >= threshold_mm then 1 else 0 end)/cast(count(*) as double) prob from f, (values {', '.join(f'({t})' for t in config.EXCEEDANCE_MM)}) t(threshold_mm) group by all) select {_KEYS}, threshold_mm, case when in_zone then round(prob*100, 6) end percent from e left join grid using (cell_id)",
     "map_layers_skill": f"with {_LOO}, s as ({_scores('pairs', _KEYS)}), k as (select {_KEYS}, round(rpss, 6) r from s) select {_KEYS}, {_levels('r', config.SKILL_LEVELS)} as level from k",
-    "map_layers_anomaly": f"with {_LIMITS}, a as (select {_KEYS}, number, case when in_zone then round(acc_mm - clim_mean, 6) end anomaly from f join lim using (model, cell_id, period_id) left join grid using (cell_id)) select *, cast({_levels('anomaly', config.LEVELS['month'])} as int) as level from a",
-    "map_layers_mean": f"with {_LIGHT}, a as (select {_KEYS}, case when in_zone then round(cast(ens_mean_anomaly as double), 4) end mean from light left join grid using (cell_id)) select *, cast({_levels('mean', config.LEVELS['month'])} as int) as level from a",
+    "map_layers_anomaly": f"with {_LIMITS}, a as (select {_KEYS}, number, case when in_zone then round(acc_mm - clim_mean, 6) end anomaly from f join lim using (model, cell_id, period_id) left join grid using (cell_id)) select *, cast({_levels('anomaly', config.LEVELS['month'])} as double) as level from a",
+    "map_layers_mean": f"with {_LIGHT}, a as (select {_KEYS}, case when in_zone then round(cast(ens_mean_anomaly as double), 4) end mean from light left join grid using (cell_id)) select *, cast({_levels('mean', config.LEVELS['month'])} as double) as level from a",
     "map_layers_dispersion": f"with {_CUBE}, x as (select {_KEYS}, number, acc_mm - avg(acc_mm) over (partition by model, cell_id, period_id) dev from f), y as (select *, greatest(1.0e0, 0.8e0 * max(abs(dev)) over (partition by model, period_id)) lim from x) select {_KEYS}, number, case when in_zone then round(dev, 6) end deviation, round(lim, 6) colour_limit from y left join grid using (cell_id)",
     "map_layers_terciles": f"with {_PROBS} select {_KEYS}, case when in_zone then {_CLASS.format(dry='dry_mask', b='\"prob_BN\"', n='\"prob_NN\"', a='\"prob_AN\"')} end as class from probs join lim using (model, cell_id, period_id) left join grid using (cell_id)",
     "multimodel_tercile_panel": f"""with {_LIGHT}, p as (select model, cell_id, period_id, "prob_BN" b, "prob_NN" n, "prob_AN" a, 1 s, dry_mask = 1 dry from light union all select 'multi_model', cell_id, period_id, "prob_BN", "prob_NN", "prob_AN", case when "prob_BN"+"prob_NN"+"prob_AN" = 0 then 1 else "prob_BN"+"prob_NN"+"prob_AN" end, dry from multi),

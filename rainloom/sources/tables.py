@@ -52,5 +52,11 @@ def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Writes `df` as zstd Parquet partitioned by `keys`, one file per key and task."""
-    df.repartition(*keys).write.mode("overwrite").partitionBy(*keys).option("compression", "zstd").parquet(path)
+    """Writes `df` as zstd Parquet partitioned by `keys`, gathered by key; adaptive execution splits keys with too many rows among tasks."""
+    df.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).option("compression", "zstd").parquet(path)
+
+
+def file_census(spark: SparkSession, folder: str, pattern: str = "*.png") -> int:
+    """How many files of a folder and those below match `pattern`; their content isn't read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    return files.load(folder).select("path").count()

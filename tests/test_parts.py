@@ -6,7 +6,7 @@ import pytest
 
 from rainloom.models import NonParametric
 from rainloom.sources.gridded import standardise
-from rainloom.sources.tables import broadcast_if_small, staged, write_partitioned
+from rainloom.sources.tables import broadcast_if_small, file_census, staged, write_partitioned
 from rainloom.streaming.slots import slot_means
 
 T0 = dt.datetime(2024, 1, 1)
@@ -36,6 +36,7 @@ def test_tables(spark, tmp_path):
     assert sorted(staged(df).collect()) == sorted(df.collect()) and staged(df.limit(0)).count() == 0
     write_partitioned(df, str(tmp_path / "t"), ["k"])
     assert spark.read.parquet(str(tmp_path / "t")).filter("k = 'b'").collect()[0].x == 2
+    assert file_census(spark, str(tmp_path), "*.parquet") == 2 and file_census(spark, str(tmp_path)) == 0
     assert "broadcast" in broadcast_if_small(df)._jdf.queryExecution().logical().toString().lower() and broadcast_if_small(df, 1) is df
 
 
