@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -23,6 +23,8 @@ STRETCH, SPARED = 25, 2
 LEAST_HITS = 24
 #: Longest insertion (header, number) between two words, in letters and digits.
 INSERTION = 160
+#: Letters of successive words that may go on behind an insertion; fewer are found by chance.
+LEAST_LETTERS = 4
 #: Passages held in memory at once; more are taken in blocks.
 BLOCK_ITEMS = 20_000
 _BASE = np.array([0x9E3779B97F4A7C15], np.uint64)
@@ -71,11 +73,69 @@ def gram_hashes(points: np.ndarray) -> np.ndarray:
     return h * np.uint64(0xBF58476D1CE4E5B9)
 
 
+class Chain:
+    """The words of a passage, matched in their order to a text from a given place on."""
+
+    def __init__(self, words: list[str]) -> None:
+        self.words = words
+        self.letters = "".join(words)
+        self.starts = [0]
+        for w in words:
+            self.starts.append(self.starts[-1] + len(w))
+
+    def reach(self, text: str, first: int, position: int) -> Callable[[int], tuple[int, tuple[tuple[int, int], ...]]]:
+        """A function of the words that may be lost, giving the most words from `first` on that stand in `text` from `position` on, and their ranges.
+
+        Words follow each other letter by letter; where they don't, up to the given number is lost and the next are looked for
+        at all places within 2 * INSERTION. Words beyond a break count up to STRETCH from the first one.
+        """
+        words, letters, starts, n = self.words, self.letters, self.starts, len(self.words)
+        known: dict[tuple[int, int, int], tuple[int, tuple[tuple[int, int], ...]]] = {}
+
+        def onwards(i: int, q: int, spared: int) -> tuple[int, tuple[tuple[int, int], ...]]:
+            if (i, q, spared) in known:
+                return known[i, q, spared]
+            b, at = i, q
+            while b < n and text.startswith(words[b], at):
+                at += len(words[b])
+                b += 1
+            best, ranges = 0, ()
+            for lost in range(spared + 1):
+                c = b + lost
+                if c >= n or c - first >= STRETCH:
+                    break
+                gap = starts[c] - starts[b]
+                for place in self._places(text, c, at + (lost == 0), at + gap + 2 * INSERTION, at, gap):
+                    m, r = onwards(c, place, spared - lost)
+                    if m > best:
+                        best, ranges = m, r
+            known[i, q, spared] = out = (b - i + best, ((i, b), *ranges) if b > i else ranges)
+            return out
+
+        return lambda spared: onwards(first, position, spared)
+
+    def _places(self, text: str, c: int, left: int, right: int, at: int, gap: int) -> list[int]:
+        """Where words from `c` on go on in text[left:right]: at least LEAST_LETTERS of them, or a short one in its place after an altered or lost word."""
+        e = c + 1
+        while e < len(self.words) and self.starts[e] - self.starts[c] < LEAST_LETTERS:
+            e += 1
+        out, seed = [], self.letters[self.starts[c] : self.starts[e]]
+        if len(seed) >= LEAST_LETTERS:
+            hit = text.find(seed, left, right + len(seed))
+            while hit >= 0:
+                out.append(hit)
+                hit = text.find(seed, hit + 1, right + len(seed))
+        if gap and len(self.words[c]) < LEAST_LETTERS:
+            out += [x for x in sorted({at, at + gap - 1, at + gap, at + gap + 1}) if x not in out and text.startswith(self.words[c], x)]
+        return out
+
+
 class Passages:
     """The windows of the passages: a bit table, sorted hashes, and for each the passages and places that have it."""
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
         self.ids = [i for i, _ in items]
+        self._chains: dict[int, tuple[Chain, Chain]] = {}
         self.words: list[list[str]] = []
         self.starts: list[np.ndarray] = []
         hashes, owners, places = [], [], []
@@ -109,52 +169,32 @@ class Passages:
         index = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.bounds[k] - (ends - size), size)
         return np.repeat(at, size), self.owner[index], self.place[index]
 
-    def matched_words(self, k: int, text: str, position: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Which words of passage `k` stand in `text` in their order, along the best supported alignment of the hits."""
-        words, starts = self.words[k], self.starts[k]
-        diagonal = position - place
-        near = np.searchsorted(np.sort(diagonal), diagonal + 2 * INSERTION, side="right") - np.searchsorted(np.sort(diagonal), diagonal)
-        base = diagonal[near.argmax()]
-        keep = (diagonal >= base) & (diagonal <= base + 2 * INSERTION)
-        order = np.lexsort((position[keep], place[keep]))
-        position, place = position[keep][order], place[keep][order]
-        # runs along one diagonal, in order in both texts
-        segments: list[list[int]] = []
-        for p, q in zip(place.tolist(), position.tolist()):
-            if segments and q - p == segments[-1][1] - segments[-1][0] and p <= segments[-1][0] + segments[-1][2]:
-                segments[-1][2] = p - segments[-1][0] + GRAM
-            elif not segments or q >= segments[-1][1] + segments[-1][2] - GRAM // 2 and p >= segments[-1][0]:
-                segments.append([p, q, GRAM])
-        ok = np.zeros(len(words), bool)
-        last_word = last_at = 0
-        for n, (p, q, size) in enumerate(segments):
-            a, b = int(np.searchsorted(starts, p)), int(np.searchsorted(starts, p + size, side="right")) - 1
-            if n == 0:  # words before the first run
-                self._between(words, ok, max(0, a - 4), a, text, max(0, q - 40), q + max(0, int(starts[a]) - p))
-            else:
-                self._between(words, ok, last_word, a, text, last_at, q + max(0, int(starts[a]) - p))
-            ok[a:b] = True
-            last_word, last_at = max(last_word, b), q + int(starts[b]) - p if b > 0 else q
-        self._between(words, ok, last_word, min(len(words), last_word + 4), text, last_at, last_at + 40)
+    def matched_words(self, k: int, text: str, mirrored: str, anchors: list[tuple[int, int]]) -> np.ndarray:
+        """Which words of passage `k` belong to a stretch of STRETCH with at most SPARED lost that stands in `text` around an anchor.
+
+        An anchor is a (word, position) where a hit lies; from each, words are matched onwards and, in `mirrored` (`text` read from its end), backwards.
+        """
+        ok = np.zeros(len(self.words[k]), bool)
+        n, size = len(ok), len(text)
+        ahead, behind = self.chains(k)
+        for a, q in anchors:
+            right, left = ahead.reach(text, a, q), behind.reach(mirrored, n - a, size - q)
+            if right(SPARED)[0] + left(SPARED)[0] < STRETCH - SPARED:
+                continue
+            for spared in range(SPARED + 1):
+                (m, x), (l, y) = right(spared), left(SPARED - spared)
+                if m + l >= STRETCH - SPARED:
+                    for i, j in x:
+                        ok[i:j] = True
+                    for i, j in y:
+                        ok[n - j : n - i] = True
         return ok
 
-    @staticmethod
-    def _between(words: list[str], ok: np.ndarray, a: int, b: int, text: str, left: int, right: int) -> None:
-        """Marks the words a..b found in text[left:right] in their order; a short word only next to the matched text on a side."""
-        end = b
-        while end > a and text.endswith(words[end - 1], left, right):
-            end -= 1
-            ok[end], right = True, right - len(words[end])
-        for i in range(a, end):
-            hit = text.find(words[i], left, right)
-            if hit >= 0 and (hit == left or len(words[i]) > 3):
-                ok[i], left = True, hit + len(words[i])
-
-    def leaked(self, ok: np.ndarray) -> bool:
-        if len(ok) < STRETCH:
-            return False
-        total = np.concatenate([[0], np.cumsum(ok)])
-        return bool((total[STRETCH:] - total[:-STRETCH] >= STRETCH - SPARED).any())
+    def chains(self, k: int) -> tuple[Chain, Chain]:
+        """Passage `k` read onwards and from its end."""
+        if k not in self._chains:
+            self._chains[k] = Chain(self.words[k]), Chain([w[::-1] for w in reversed(self.words[k])])
+        return self._chains[k]
 
     def find(self, texts: list[str | None]) -> Iterator[tuple[int, int, int]]:
         """(number of the text, item id, matched words) of each leak."""
@@ -165,18 +205,31 @@ class Passages:
             return
         doc = np.searchsorted(breaks, position)
         begin = np.concatenate([[0], breaks + 1])
-        group = doc * len(self.ids) + passage
-        order = np.argsort(group, kind="stable")
-        cuts = np.flatnonzero(np.diff(group[order])) + 1
-        for rows in np.split(order, cuts):
-            if len(rows) < LEAST_HITS or len(np.unique(place[rows])) < LEAST_HITS:
+        # maximal runs of hits along one diagonal of a pair
+        group, diagonal = doc * len(self.ids) + passage, position - place
+        order = np.lexsort((position, diagonal, group))
+        group, diagonal, position, place = group[order], diagonal[order], position[order], place[order]
+        starts_run = np.append(True, (np.diff(group) != 0) | (np.diff(diagonal) != 0) | (np.diff(position) != 1))
+        first = np.flatnonzero(starts_run)
+        length = np.diff(np.append(first, len(group))) + GRAM - 1
+        edges = np.flatnonzero(np.append(True, np.diff(group) != 0))
+        text, mirrored, shown = "", "", -1
+        for lo, hi in zip(edges, np.append(edges[1:], len(group))):
+            if hi - lo < LEAST_HITS or len(np.unique(place[lo:hi])) < LEAST_HITS:
+                continue
+            d, k = divmod(int(group[lo]), len(self.ids))
+            if len(self.words[k]) < STRETCH:
                 continue
-            d, k = int(doc[rows[0]]), int(passage[rows[0]])
-            end = breaks[d] if d < len(breaks) else len(joined)
-            lo, hi = max(int(begin[d]), int(position[rows].min()) - 400), min(int(end), int(position[rows].max()) + 400)
-            text = joined[lo:hi].tobytes().decode("utf-32-le")
-            ok = self.matched_words(k, text, position[rows] - lo, place[rows])
-            if self.leaked(ok):
+            start = int(begin[d])
+            if d != shown:
+                text = joined[start : int(breaks[d]) if d < len(breaks) else len(joined)].tobytes().decode("utf-32-le")
+                mirrored, shown = text[::-1], d
+            runs = slice(*np.searchsorted(first, [lo, hi]))
+            p, q, starts = place[first[runs]], position[first[runs]] - start, self.starts[k]
+            a, b = np.searchsorted(starts, p), np.searchsorted(starts, p + length[runs], side="right") - 1
+            whole = a < b  # runs without a whole word lie beside no intact stretch
+            ok = self.matched_words(k, text, mirrored, list(zip(a[whole].tolist(), (q + starts[a] - p)[whole].tolist())))
+            if ok.any():
                 yield d, self.ids[k], int(ok.sum())
 
 

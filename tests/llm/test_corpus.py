@@ -66,6 +66,24 @@ def test_leaks(spark):
     assert leak.leaks(docs.limit(0), _items(spark)).count() == 0 and leak.leaks(docs, _items(spark).limit(0)).count() == 0
 
 
+REPEATING = "the keeper of the old northern lighthouse wrote in his book that the keeper of the old northern lighthouse had seen two ships and a boat pass while rain fell on the keeper of the old northern lighthouse and all who slept there through that long winter night".split()
+
+
+def _found(items, texts):
+    return {d for d, _, _ in leak.Passages(items).find(texts)}
+
+
+def test_leaks_of_a_passage_that_repeats_a_phrase():
+    cuts = [REPEATING[i : i + 25] for i in range(len(REPEATING) - 24)]
+    texts = [" ".join(c) for c in cuts]
+    texts += ["Then " + " ".join(REPEATING[30:]) + " came again: " + t for t in texts]
+    texts += ["x " + " ".join(c[:12]) + " Page 7 of 9. " + " ".join(c[12:]) + " y" for c in cuts]
+    texts += [" ".join(REPEATING[:12]) + " but not so in this place " * 40 + t for t in texts[: len(cuts)]]
+    assert _found([(5, " ".join(REPEATING))], texts) == set(range(len(texts)))
+    short = [" ".join(REPEATING[i : i + 22]) for i in range(len(REPEATING) - 21)]
+    assert not _found([(5, " ".join(REPEATING))], [f"{t} or nothing more" for t in short])
+
+
 TERMS = {"sea": ["harbour", "anchor", "rudder", "sailor", "keel", "tide"], "farm": ["plough", "harvest", "barn", "cattle", "orchard", "fodder"], "law": ["appeal", "statute", "clause", "verdict", "hearing", "motion"]}
 
 
