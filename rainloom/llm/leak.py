@@ -1,7 +1,7 @@
 """Evaluation texts leaking into training text (problem 8).
 
 Texts become streams of folded letters and digits, so that case, punctuation, spacing and line breaks don't count. A
-broadcast set of hashes of all GRAM-character windows of the test passages is held against every window of every document;
+broadcast set of hashes of all windows (at most GRAM letters) of the test passages is held against every window of every document;
 what is hit is verified word by word: a leak needs a stretch of 25 passage words of which at most two are lost or altered.
 Page headers and paragraph numbers show as insertions in the document and are skipped.
 """
@@ -17,10 +17,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-GRAM = 16  # a power of two
 STRETCH, SPARED = 25, 2
-#: Different passage windows that must be hit before a passage is verified: 23 intact words have about 100 letters, and two faults and three insertions cost 15 windows each.
-LEAST_HITS = 24
+#: Headers and numbers reckoned with inside a stretch; they and the spared words part its intact letters into at most PARTS runs.
+INSERTIONS = 3
+PARTS = SPARED + INSERTIONS + 1
+#: Longest and shortest windows in letters. The length taken is the longest that every stretch is sure to hold; where even LEAST_GRAM isn't sure, one hit is enough to verify a passage.
+GRAM, LEAST_GRAM = 16, 8
 #: Longest insertion (header, number) between two words, in letters and digits.
 INSERTION = 160
 #: Letters of successive words that may go on behind an insertion; fewer are found by chance.
@@ -61,16 +63,28 @@ def stream(text: str) -> np.ndarray:
     return points[_kept()[points]]
 
 
-def gram_hashes(points: np.ndarray) -> np.ndarray:
-    """A hash of each window of GRAM characters."""
+def gram_hashes(points: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of each window of `gram` characters."""
+    if len(points) < gram:
+        return np.empty(0, np.uint64)
     h, width, power = points.astype(np.uint64), 1, _BASE
-    while width < GRAM and len(h) > width:
+    out, size = None, 0  # windows of the low bits of `gram`
+    while True:
+        if gram & width:
+            out, size = (h, width) if out is None else (h[: len(h) - size] * out_power + out[width:], size + width)
+            out_power = power if size == width else out_power * power
+        if width * 2 > gram:
+            break
         h = h[:-width] * power + h[width:]
         power, width = power * power, width * 2
-    if width < GRAM:
-        return np.empty(0, np.uint64)
-    h ^= h >> np.uint64(29)
-    return h * np.uint64(0xBF58476D1CE4E5B9)
+    out = out ^ (out >> np.uint64(29))
+    return out * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def least_letters(words: list[str]) -> int:
+    """The fewest letters that a stretch of the passage keeps when its longest SPARED words are lost; 0 for a passage without a stretch."""
+    sizes = [len(w) for w in words]
+    return min((sum(sorted(sizes[i : i + STRETCH])[:-SPARED]) for i in range(len(sizes) - STRETCH + 1)), default=0)
 
 
 class Chain:
@@ -78,10 +92,11 @@ class Chain:
 
     def __init__(self, words: list[str]) -> None:
         self.words = words
-        self.letters = "".join(words)
         self.starts = [0]
         for w in words:
             self.starts.append(self.starts[-1] + len(w))
+        #: The fewest words from each one on that have LEAST_LETTERS.
+        self.seeds = ["".join(words[i : next((e for e in range(i + 1, len(words)) if self.starts[e] - self.starts[i] >= LEAST_LETTERS), len(words))]) for i in range(len(words))]
 
     def reach(self, text: str, first: int, position: int) -> Callable[[int], tuple[int, tuple[tuple[int, int], ...]]]:
         """A function of the words that may be lost, giving the most words from `first` on that stand in `text` from `position` on, and their ranges.
@@ -89,7 +104,7 @@ class Chain:
         Words follow each other letter by letter; where they don't, up to the given number is lost and the next are looked for
         at all places within 2 * INSERTION. Words beyond a break count up to STRETCH from the first one.
         """
-        words, letters, starts, n = self.words, self.letters, self.starts, len(self.words)
+        words, starts, n = self.words, self.starts, len(self.words)
         known: dict[tuple[int, int, int], tuple[int, tuple[tuple[int, int], ...]]] = {}
 
         def onwards(i: int, q: int, spared: int) -> tuple[int, tuple[tuple[int, int], ...]]:
@@ -116,10 +131,7 @@ class Chain:
 
     def _places(self, text: str, c: int, left: int, right: int, at: int, gap: int) -> list[int]:
         """Where words from `c` on go on in text[left:right]: at least LEAST_LETTERS of them, or a short one in its place after an altered or lost word."""
-        e = c + 1
-        while e < len(self.words) and self.starts[e] - self.starts[c] < LEAST_LETTERS:
-            e += 1
-        out, seed = [], self.letters[self.starts[c] : self.starts[e]]
+        out, seed = [], self.seeds[c]
         if len(seed) >= LEAST_LETTERS:
             hit = text.find(seed, left, right + len(seed))
             while hit >= 0:
@@ -143,7 +155,13 @@ class Passages:
             words = [w for w in ("".join(map(chr, stream(p))) for p in passage.split()) if w]
             self.words.append(words)
             self.starts.append(np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64))
-            h = gram_hashes(np.array([ord(c) for w in words for c in w], np.uint32))
+        intact = np.array([least_letters(w) for w in self.words], np.int64)
+        self.gram = min(GRAM, max(LEAST_GRAM, -(-int(intact[intact > 0].min(initial=GRAM * PARTS)) // PARTS)))
+        #: Different windows that any stretch holds at least, whatever words are lost and wherever insertions lie.
+        self.need = np.maximum(1, intact - (self.gram - 1) * PARTS)
+        for k, words in enumerate(self.words):
+            # a passage without a stretch can't leak
+            h = gram_hashes(np.array([ord(c) for w in words for c in w] if intact[k] else [], np.uint32), self.gram)
             hashes.append(h)
             owners.append(np.full(len(h), k, np.int64))
             places.append(np.arange(len(h)))
@@ -200,7 +218,7 @@ class Passages:
         """(number of the text, item id, matched words) of each leak."""
         joined = stream(SEPARATOR.join((t or "").replace(SEPARATOR, " ") for t in texts))
         breaks = np.flatnonzero(joined == ord(SEPARATOR))
-        position, passage, place = self.hits(gram_hashes(joined))
+        position, passage, place = self.hits(gram_hashes(joined, self.gram))
         if not len(position):
             return
         doc = np.searchsorted(breaks, position)
@@ -211,14 +229,14 @@ class Passages:
         group, diagonal, position, place = group[order], diagonal[order], position[order], place[order]
         starts_run = np.append(True, (np.diff(group) != 0) | (np.diff(diagonal) != 0) | (np.diff(position) != 1))
         first = np.flatnonzero(starts_run)
-        length = np.diff(np.append(first, len(group))) + GRAM - 1
+        length = np.diff(np.append(first, len(group))) + self.gram - 1
         edges = np.flatnonzero(np.append(True, np.diff(group) != 0))
+        ends = np.append(edges[1:], len(group))
+        enough = ends - edges >= self.need[group[edges] % len(self.ids)]
         text, mirrored, shown = "", "", -1
-        for lo, hi in zip(edges, np.append(edges[1:], len(group))):
-            if hi - lo < LEAST_HITS or len(np.unique(place[lo:hi])) < LEAST_HITS:
-                continue
+        for lo, hi in zip(edges[enough], ends[enough]):
             d, k = divmod(int(group[lo]), len(self.ids))
-            if len(self.words[k]) < STRETCH:
+            if len(np.unique(place[lo:hi])) < self.need[k]:
                 continue
             start = int(begin[d])
             if d != shown:

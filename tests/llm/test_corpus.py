@@ -3,6 +3,7 @@
 import os
 import random
 
+import numpy as np
 import pytest
 
 from rainloom.llm import encode, leak, subject
@@ -84,6 +85,23 @@ def test_leaks_of_a_passage_that_repeats_a_phrase():
     assert not _found([(5, " ".join(REPEATING))], [f"{t} or nothing more" for t in short])
 
 
+def test_leaks_with_two_words_lost_and_three_insertions():
+    def parted(cut, lost, insertions):
+        words = ["zzz" if i in lost else w for i, w in enumerate(cut)]
+        return "x " + " ".join(w + " [CRT-002] page 4 of 7" * (i in insertions) for i, w in enumerate(words)) + " y"
+
+    cuts = [WORDS[i : i + 25] for i in range(len(WORDS) - 24)]
+    texts = [parted(c, lost, ins) for c in cuts for lost, ins in (((4, 13), (8, 17, 21)), ((8, 16), (3, 12, 20)), ((12, 20), (4, 8, 16)))]
+    assert _found([(5, " ".join(WORDS))], texts) == set(range(len(texts)))
+    assert not _found([(5, " ".join(WORDS))], [parted(c, (3, 4, 13), (8, 17, 21)) for c in cuts])
+    rng = random.Random(2)
+    points = np.array([rng.choice([97, 98]) for _ in range(500)], np.uint32)
+    for gram in range(leak.LEAST_GRAM, leak.GRAM + 1):
+        windows = [tuple(points[i : i + gram]) for i in range(501 - gram)]
+        hashes = leak.gram_hashes(points, gram).tolist()
+        assert len(hashes) == len(windows) and len(set(hashes)) == len(set(windows)) == len(set(zip(hashes, windows)))
+
+
 TERMS = {"sea": ["harbour", "anchor", "rudder", "sailor", "keel", "tide"], "farm": ["plough", "harvest", "barn", "cattle", "orchard", "fodder"], "law": ["appeal", "statute", "clause", "verdict", "hearing", "motion"]}
 
 
