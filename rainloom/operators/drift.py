@@ -1,25 +1,26 @@
 """Schemas that drift between files (problem 6).
 
-Every file of a feed is profiled: for each JSON path its type, range and a value sketch (for each of 16 hash buckets of
+Every file of a feed is profiled: for each JSON path its type, how many values lie in the range of each field, and a value sketch (for each of 16 hash buckets of
 stations, the value of the station with the least hash). Paths of a file are matched to the fields by a maximum-weight
-bipartite matching; a weight holds the likeness of names and, from one file to the next, the agreement of the sketches with
-those of the path that held the field before. The matched paths give one table and the changes of each file.
+bipartite matching; a weight holds the likeness of names and the agreement of the sketches with those of the path that held
+the field last. The files of a feed are matched in order, each against what was found in those before it. The matched paths give one table and the changes of each file.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import BooleanType, StringType, StructType
 
 from rainloom.functions import matching
-from rainloom.sources.tables import staged
 
 FIELDS = tuple(matching.ALIASES)
 BUCKETS = 16
 LEAST_WEIGHT = 0.7
 FOOT_M = 0.3048
 _NUMBER = r"""^\s*([+-]?[0-9]+\.?[0-9]*|[+-]?\.[0-9]+)\s*(?:[°d]\s*)?(?:([0-9.]+)\s*['′]\s*)?(?:([0-9.]+)\s*["″]\s*)?([NSEWOnsewo]|m|ft|feet)?\.?\s*$"""
-_PLACE = "array<struct<field:string,path:string,kind:string,prev_path:string,prev_kind:string>>"
 
 
 def leaves(catalog: DataFrame) -> DataFrame:
@@ -60,15 +61,15 @@ def profiles(parts: DataFrame) -> DataFrame:
     bucketed = (
         parts.withColumn("h", F.xxhash64("station"))
         .groupBy("feed", "file_seq", "path", "kind", F.pmod("h", F.lit(BUCKETS)).alias("bucket"))
-        .agg(F.count("*").alias("n"), F.count("value").alias("numeric"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.min(F.when(F.col("value").isNotNull(), F.struct("h", F.col("value").alias("v")))).alias("least"))
+        .agg(F.count("*").alias("n"), F.count("value").alias("numeric"), *[F.count_if(F.col("value").between(*matching.RANGES[f])).alias(f) for f in FIELDS], F.min(F.when(F.col("value").isNotNull(), F.struct("h", F.col("value").alias("v")))).alias("least"))
     )
     per_kind = bucketed.groupBy("feed", "file_seq", "path", "kind").agg(
-        F.sum("n").alias("n"), F.sum("numeric").alias("numeric"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list("least").alias("sketch")
+        F.sum("n").alias("n"), F.sum("numeric").alias("numeric"), *[F.sum(f).alias(f) for f in FIELDS], F.collect_list("least").alias("sketch")
     )
     per_path = per_kind.groupBy("feed", "file_seq", "path").agg(
-        F.max_by("kind", F.struct("n", "kind")).alias("kind"), F.sum("n").alias("n"), F.sum("numeric").alias("numeric"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.flatten(F.collect_list("sketch")).alias("sketch")
+        F.max_by("kind", F.struct("n", "kind")).alias("kind"), F.sum("n").alias("n"), F.sum("numeric").alias("numeric"), *[F.sum(f).alias(f) for f in FIELDS], F.flatten(F.collect_list("sketch")).alias("sketch")
     )
-    return per_path.groupBy("feed", "file_seq").agg(F.sort_array(F.collect_list(F.struct("path", "kind", "n", "numeric", "lo", "hi", "sketch"))).alias("paths"))
+    return per_path.groupBy("feed", "file_seq").agg(F.sort_array(F.collect_list(F.struct("path", "kind", "n", "numeric", *FIELDS, "sketch"))).alias("paths"))
 
 
 def _agreement(a: dict, b: dict) -> float:
@@ -78,44 +79,53 @@ def _agreement(a: dict, b: dict) -> float:
 
 
 def _places(paths: list[dict], before: dict[str, dict]) -> dict[str, dict]:
-    """The path of each field in one file; `before` holds the paths of the file before."""
+    """The path of each field in one file; `before` holds the last paths of the fields in the files before."""
     usable = [p for p in paths if p["numeric"] * 2 > p["n"]]
     if not usable:
         return {}
     weights = []
     for f in FIELDS:
-        lo, hi = matching.RANGES[f]
-        weights.append([(matching.likeness(f, p["path"]) + (1.5 * _agreement(before[f], p) if f in before else 0.0)) if lo <= p["lo"] and p["hi"] <= hi else 0.0 for p in usable] + [0.0] * len(FIELDS))
+        # most values must lie in the range; a wrong one doesn't tell against the path
+        weights.append([(matching.likeness(f, p["path"]) + (1.5 * _agreement(before[f], p) if f in before else 0.0)) if p[f] * 2 > p["numeric"] else 0.0 for p in usable] + [0.0] * len(FIELDS))
     return {f: usable[j] for f, row, j in zip(FIELDS, weights, matching.assign(weights)) if row[j] >= LEAST_WEIGHT}
 
 
-def _match_files(prev: pd.Series, paths: pd.Series) -> pd.Series:
-    out = []
-    for a, b in zip(prev, paths):
-        before = _places(list(a), {}) if a is not None else {}
-        now = _places(list(b), before)
-        row = []
-        for f in FIELDS:
-            if f in before or f in now:
-                p, q = before.get(f), now.get(f)
-                row.append({"field": f, "path": q and q["path"], "kind": q and q["kind"], "prev_path": p and p["path"], "prev_kind": p and p["kind"]})
-        out.append(row)
-    return pd.Series(out, dtype=object)
+def _match_files(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Places the fields of files that come in order per feed; only the file before and the last path of each field are kept."""
+    feed, last, held = None, {}, {}
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            first = r["feed"] != feed
+            if first:
+                feed, last, held = r["feed"], {}, {}
+            now = _places(r["paths"] or [], held)
+            for f in FIELDS:
+                if f in last or f in now:
+                    p, q = last.get(f), now.get(f)
+                    out.append({"feed": feed, "file_seq": r["file_seq"], "first": first, "field": f, "path": q and q["path"], "kind": q and q["kind"], "prev_path": p and p["path"], "prev_kind": p and p["kind"]})
+            last = now
+            held |= now
+        yield pa.RecordBatch.from_pylist(out, schema=schema)
 
 
 def matched(parts: DataFrame) -> DataFrame:
     """(feed, file_seq, first, field, path, kind, prev_path, prev_kind): where each field stands in each file and stood in the file before.
 
-    Only the keys of files are put in order per feed; the profiles are joined to them, so a feed with many files is matched in many tasks.
+    What a file holds depends on the files before it, so the profiles of a feed pass one task in their order, a batch at a time.
     Records without a feed or a number belong to no file.
     """
-    files = staged(profiles(parts.filter("feed is not null and file_seq is not null")))
-    before = F.lag("file_seq").over(Window.partitionBy("feed").orderBy("file_seq"))
-    order = files.select("feed", "file_seq", before.alias("prev_seq"))
-    prev = files.select("feed", F.col("file_seq").alias("prev_seq"), F.col("paths").alias("prev"))
-    pairs = order.join(files, ["feed", "file_seq"]).join(prev, ["feed", "prev_seq"], "left")
-    placed = pairs.select("feed", "file_seq", F.col("prev").isNull().alias("first"), F.explode(F.pandas_udf(_match_files, _PLACE)("prev", "paths")).alias("m"))
-    return placed.select("feed", "file_seq", "first", "m.*")
+    files = profiles(parts.filter("feed is not null and file_seq is not null"))
+    out = StructType([files.schema["feed"], files.schema["file_seq"]]).add("first", BooleanType())
+    for c in ("field", "path", "kind", "prev_path", "prev_kind"):
+        out = out.add(c, StringType())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        yield from _match_files(batches, to_arrow_schema(out))
+
+    return files.repartition("feed").sortWithinPartitions("feed", "file_seq").mapInArrow(run, out)
 
 
 def field_changes(catalog: DataFrame) -> DataFrame:

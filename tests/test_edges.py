@@ -1,5 +1,6 @@
 """Nulls, NaN and clashing names in the operators; each case has the result that its docstring states."""
 
+import json
 import datetime as dt
 import math
 
@@ -75,6 +76,22 @@ def test_drift_of_a_feed_with_many_files(spark):
     assert {tuple(r) for r in drift.field_changes(catalog).collect()} == {("f", 20, "longitude", "renamed"), ("f", 40, "longitude", "renamed"), ("f", 60, "longitude", "renamed")}
 
 
+def test_drift_keeps_a_field_under_an_unknown_key_and_with_a_wrong_value(spark):
+    def payload(i, k):
+        x, y = ("breitengradferne", "ns") if 2 <= i < 6 else ("lon", "lat")
+        height = {} if i == 3 else {"hoehe" if i == 4 else "elev": 300 + 9 * k}
+        return json.dumps({"station": f"s{k}", x: 999.0 if (i, k) == (7, 2) else 10.0 + k, y: 40.0 + 3 * k, **height})
+
+    docs = [(9 * i + k, "f", i, payload(i, k)) for i in range(9) for k in range(9)]
+    catalog = spark.createDataFrame(docs, "record_id long, feed string, file_seq int, payload string")
+    assert {tuple(r) for r in drift.field_changes(catalog).collect()} == {
+        *[("f", i, f, "renamed") for i in (2, 6) for f in ("longitude", "latitude")], ("f", 3, "elevation", "removed"), ("f", 4, "elevation", "added"), ("f", 5, "elevation", "renamed"),
+    }
+    for r in drift.unified(catalog).collect():
+        i, k = divmod(r.record_id, 9)
+        assert (r.longitude, r.latitude, r.elevation) == (999.0 if (i, k) == (7, 2) else 10.0 + k, 40.0 + 3 * k, None if i == 3 else 300.0 + 9 * k)
+
+
 @pytest.mark.parametrize("name", ["station_cpt", "bilinear_regrid", "map_layers_anomaly", "p6_found"])
 def test_registered_queries_on_empty_tables(spark, tmp_path, name):
     import __spark_entry__ as entry
