@@ -91,7 +91,8 @@ def convert_forecast(fcst: DataFrame, attrs: DataFrame) -> DataFrame:
 def convert_observations(obs: DataFrame, attrs: DataFrame) -> DataFrame:
     """`obs` with `precip_unit` and `precip_mm`, in place of columns of these names; a remark on the unit of its value outranks the file."""
     noted = obs.drop("precip_unit", "precip_mm").withColumn("_noted_unit", F.when(F.col("remark").isNotNull(), unit_of_statement("remark")))
-    sizes = obs.filter("remark is null").groupBy("file_id").agg(F.percentile_approx(_positive("precip"), 0.5, 200).alias("size"))
+    # remarks about other things don't tell against the value
+    sizes = noted.filter("_noted_unit is null").groupBy("file_id").agg(F.percentile_approx(_positive("precip"), 0.5, 200).alias("size"))
     known = file_units(obs.select("file_id").distinct().join(sizes, "file_id", "left").select("file_id", F.lit("precip").alias("field"), "size"), attrs).select("file_id", F.col("unit").alias("_file_unit"))
     return (
         noted.join(known, "file_id", "left")

@@ -92,6 +92,15 @@ def test_drift_keeps_a_field_under_an_unknown_key_and_with_a_wrong_value(spark):
         assert (r.longitude, r.latitude, r.elevation) == (999.0 if (i, k) == (7, 2) else 10.0 + k, 40.0 + 3 * k, None if i == 3 else 300.0 + 9 * k)
 
 
+def test_the_size_of_a_file_counts_values_with_remarks_about_other_things(spark):
+    size = [2.0, 2.4, 2.5, 2.6, 3.0]
+    rows = [(i, 1, v, None) for i, v in enumerate(size)] + [(10 + i, 2, v / 1000, "gauge cleaned") for i, v in enumerate(size)] + [(20, 2, 7.0, "in mm"), (21, 2, 8.0, "in mm"), (22, 2, 0.0, None)]
+    obs = spark.createDataFrame(rows, "row_id long, file_id long, precip double, remark string")
+    attrs = spark.createDataFrame([(1, "precip", "mm", None, None)], "file_id long, field string, units string, note string, long_name string")
+    got = {r.row_id: (r.precip_unit, r.precip_mm) for r in unify.convert_observations(obs, attrs).collect()}
+    assert [got[10 + i] for i in range(5)] == [("m", pytest.approx(v)) for v in size] and got[20] == ("mm", 7.0)
+
+
 @pytest.mark.parametrize("name", ["station_cpt", "bilinear_regrid", "map_layers_anomaly", "p6_found"])
 def test_registered_queries_on_empty_tables(spark, tmp_path, name):
     import __spark_entry__ as entry
