@@ -51,3 +51,20 @@ def level_bin(value: Column, levels: tuple[float, ...]) -> Column:
 def decode_months(months: Column, epoch: Column) -> Column:
     """The date `months` (rounded half to even) after `epoch`."""
     return F.add_months(epoch, F.bround(months).cast("int"))
+
+
+def naive_micros(time: Column) -> Column:
+    """Microseconds since 1970-01-01 00:00 by the fields of a time without zone, whatever the zone of the session."""
+    day = F.datediff(time, F.lit("1970-01-01")).cast("long")
+    return (day * 24 + F.hour(time)) * 3_600_000_000 + F.minute(time).cast("long") * 60_000_000 + (F.extract(F.lit("SECOND"), time) * 1_000_000).cast("long")
+
+
+def naive_hours(time: Column) -> Column:
+    """Whole hours since 1970-01-01 00:00 by the fields of a time without zone."""
+    return F.datediff(time, F.lit("1970-01-01")).cast("long") * 24 + F.hour(time)
+
+
+def hour_text(hours: Column) -> Column:
+    """`yyyy-MM-dd HH:mm` of hours since 1970-01-01 00:00."""
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(hours / 24).cast("int"))
+    return F.concat(day.cast("string"), F.lit(" "), F.lpad(F.pmod(hours, F.lit(24)).cast("string"), 2, "0"), F.lit(":00"))

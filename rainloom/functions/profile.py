@@ -5,26 +5,29 @@ from __future__ import annotations
 import numpy as np
 
 RANK, ROUNDS = 2, 5
-#: The components stay below the CLIP quantile of the positive readings; cells above the TAIL quantile of the remainder are sparse.
-CLIP, TAIL = 0.75, 0.9
-#: A block with fewer positive readings takes no part in fixing what is normal.
-LEAST_POSITIVE = 20
+#: The components stay below the CLIP quantile of the positive readings.
+CLIP = 0.75
+#: A cell is sparse when its remainder lies so many robust standard deviations above the median remainder of the wet cells.
+DEVIATIONS = 1.0
+_MAD_TO_SD = 1.4826
 
 
 def sparse_part(row: np.ndarray, col: np.ndarray, value: np.ndarray) -> np.ndarray:
     """Which readings stand out of the low-rank part of their profile matrix (rows x columns, largest reading per cell).
 
     The matrix of log(1 + value / median) is parted into a low-rank and a sparse part in turn; empty cells take the low-rank
-    value. The sparse part starts with all that lies above the CLIP quantile, so a spike can't enter the components.
+    value. The sparse part starts with all that lies above the CLIP quantile, so a spike can't enter the components. What
+    counts as sparse is told by the median remainder of the wet cells and its median deviation, which bear any share of
+    spikes below a half. Without a positive reading nothing stands out.
     """
     positive = value[value > 0]
-    if len(positive) < LEAST_POSITIVE:
-        return value > 0
+    if not len(positive):
+        return np.zeros(len(value), bool)
     middle = float(np.median(positive))
     y = np.log1p(np.maximum(value, 0.0) / middle)
     cells = np.full((int(row.max()) + 1, int(col.max()) + 1), -1.0)
     np.maximum.at(cells, (row, col), y)
-    seen = cells >= 0
+    seen, wet = cells >= 0, cells > 0
     top = float(np.quantile(y[value > 0], CLIP))
     sparse = np.where(seen, np.maximum(0.0, cells - top), 0.0)
     low = np.full(cells.shape, float(np.minimum(y, top).mean()))
@@ -34,7 +37,8 @@ def sparse_part(row: np.ndarray, col: np.ndarray, value: np.ndarray) -> np.ndarr
         k = min(RANK, len(s))
         low = np.clip((u[:, :k] * s[:k]) @ vt[:k], 0.0, top)
         rest = cells - low
-        tau = float(np.quantile(rest[seen], TAIL))
+        centre = float(np.median(rest[wet]))
+        tau = centre + DEVIATIONS * _MAD_TO_SD * float(np.median(np.abs(rest[wet] - centre)))
         sparse = np.where(seen & (rest > tau), rest, 0.0)
     return (y - low[row, col] > tau) & (value > middle)
 

@@ -1,10 +1,11 @@
 """Implausible spikes in measurements (problem 1): impossible values, spikes and stuck values per source.
 
-Readings are grouped into blocks of one source (a station's quarter of a year; the files of four years of one model and
-cell). In each block robust principal components part the profile matrix (days by times of day; members by steps) into
-normal behaviour and sparse deviations; ranges and constant runs are tested separately. Deviations are then held
-against all readings of their source: those that lie beyond a gap of more than a factor of two are spikes. Only flagged
-rows, block maxima and the runs at the ends of blocks leave the blocks, so no source is ever gathered in one task.
+Readings are grouped into blocks of about BLOCK_ROWS of one source: a stretch of time of a station, some files of a model
+and cell; a source with more readings has more blocks. In each block robust principal components part the profile matrix
+(days by times of day; members by steps) into normal behaviour and sparse deviations; ranges and constant runs are tested
+separately. Deviations are then held against all readings of their source: those that lie beyond a gap of more than a
+factor of two are spikes. Only flagged rows, block maxima and the runs at the ends of blocks leave the blocks, so no
+source is ever gathered in one task.
 """
 
 from __future__ import annotations
@@ -14,52 +15,68 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rainloom.functions import profile
+from rainloom.functions.expr import naive_micros
 from rainloom.operators.regular import is_reading
 from rainloom.operators.unify import convert_forecast
-from rainloom.sources.tables import staged
+from rainloom.sources.tables import broadcast_if_small, staged
 
 HIGHEST_MM = 1900.0
 LOWEST_MM = {"station_obs": 0.0, "fcst_daily": -0.1}
 STUCK = 6
+#: Stands for a member without a number; beyond all numbers of 32 bits.
+NO_NUMBER = -(1 << 40)
 GAP = 2.0
-STATION_BLOCK_DAYS, FORECAST_BLOCK_YEARS = 92, 4
+#: Readings of a block aimed at; it sets the size of tasks, not what is found.
+BLOCK_ROWS = 20_000
 DAY_US = 86_400_000_000
 # kind: F found, C deviates from normal, O in a run at the end of a block, E such a run, M largest ordinary reading of a block
-_RECORD = "tbl string, src string, block int, kind string, pos int, equal double, n long, row_id long, value double"
+_RECORD = "tbl string, src string, block long, kind string, pos int, equal double, n long, row_id long, value double"
 
 
 def station_readings(obs: DataFrame) -> DataFrame:
-    """(tbl, src, block, series, ord, value, row_id) of the readings of `station_obs` with an id, a station and a time; missing values are no readings."""
-    return obs.filter(is_reading(F.col("prcp")) & F.col("time").isNotNull() & F.col("station").isNotNull() & F.col("obs_id").isNotNull()).select(
-        F.lit("station_obs").alias("tbl"),
-        F.col("station").alias("src"),
-        F.floor(F.datediff("time", F.lit("1970-01-01")) / STATION_BLOCK_DAYS).cast("int").alias("block"),
-        F.lit(0).cast("long").alias("series"),
-        F.unix_micros(F.col("time").cast("timestamp")).alias("ord"),
-        F.col("prcp").alias("value"),
-        F.col("obs_id").alias("row_id"),
+    """(tbl, src, block, file, number, ord, value, row_id) of the readings of `station_obs` with an id, a station and a time; missing values are no readings.
+
+    A block is a stretch of time, as long as BLOCK_ROWS readings of the station take on average; whole days unless a day holds more.
+    """
+    known = obs.filter(is_reading(F.col("prcp")) & F.col("time").isNotNull() & F.col("station").isNotNull() & F.col("obs_id").isNotNull())
+    known = known.select(F.col("station").alias("src"), naive_micros(F.col("time")).alias("ord"), F.col("prcp").alias("value"), F.col("obs_id").alias("row_id"))
+    spans = known.groupBy("src").agg(F.min("ord").alias("begin"), ((F.max("ord") - F.min("ord") + 1.0) * BLOCK_ROWS / F.count("*")).alias("length"))
+    spans = spans.select("src", F.floor(F.col("begin") / DAY_US).cast("long").alias("day0"), F.when(F.col("length") > DAY_US, F.ceil(F.col("length") / DAY_US) * DAY_US).otherwise(F.ceil("length")).cast("long").alias("length"))
+    return known.join(broadcast_if_small(staged(spans)), "src").select(
+        F.lit("station_obs").alias("tbl"), "src", F.floor((F.col("ord") - F.col("day0") * DAY_US) / F.col("length")).cast("long").alias("block"), F.lit(0).cast("long").alias("file"), F.lit(0).cast("long").alias("number"), "ord", "value", "row_id"
     )
 
 
 def forecast_readings(fcst: DataFrame, attrs: DataFrame) -> DataFrame:
-    """The same of `fcst_daily.tp_daily` in mm; a series is one (file_id, number, cell_id) and lies in one block.
+    """The same of `fcst_daily.tp_daily` in mm; a series is one (file_id, number, cell_id) and lies in one block, which holds some of the files of its source.
 
     Rows without an id or a file are no readings; those without a number form one series of their file, those without a step stand before its first step.
     """
-    return convert_forecast(fcst, attrs).filter(F.col("tp_daily_mm").isNotNull() & ~F.isnan("tp_daily_mm") & F.col("fcst_id").isNotNull()).select(
+    source = F.concat_ws("|", "model", "cell_id")
+    parts = fcst.filter("tp_daily is not null").groupBy(source.alias("src")).agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("long").alias("parts"))
+    known = convert_forecast(fcst, attrs).filter(F.col("tp_daily_mm").isNotNull() & ~F.isnan("tp_daily_mm") & F.col("fcst_id").isNotNull()).withColumn("src", source)
+    return known.join(broadcast_if_small(staged(parts)), "src").select(
         F.lit("fcst_daily").alias("tbl"),
-        F.concat_ws("|", "model", "cell_id").alias("src"),
-        F.floor(F.year("init_time") / FORECAST_BLOCK_YEARS).cast("int").alias("block"),
-        (F.col("file_id") * 1024 + F.coalesce("number", F.lit(1023))).alias("series"),
+        "src",
+        F.pmod(F.xxhash64("file_id"), "parts").cast("long").alias("block"),
+        F.col("file_id").cast("long").alias("file"),
+        F.coalesce(F.col("number").cast("long"), F.lit(NO_NUMBER)).alias("number"),
         F.coalesce(F.col("step_h").cast("long"), F.lit(-1)).alias("ord"),
         F.col("tp_daily_mm").alias("value"),
         F.col("fcst_id").alias("row_id"),
     )
 
 
+def _series(file: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """A number for each different (file, number)."""
+    (_, a), (few, b) = (np.unique(x, return_inverse=True) for x in (file, number))
+    return a * len(few) + b
+
+
 def _block(table: pa.Table) -> pa.Table:
     tbl, src, block = (table.column(c)[0].as_py() for c in ("tbl", "src", "block"))
-    series, order, value, ids = (table.column(c).to_numpy() for c in ("series", "ord", "value", "row_id"))
+    order, value, ids = (table.column(c).to_numpy() for c in ("ord", "value", "row_id"))
+    series = _series(table.column("file").to_numpy(), table.column("number").to_numpy())
     spans_blocks = tbl == "station_obs"
     found = (value < LOWEST_MM[tbl]) | (value > HIGHEST_MM)
     run, length, equal = profile.runs(series, order, value)
@@ -74,9 +91,10 @@ def _block(table: pa.Table) -> pa.Table:
     if plain.any():
         if spans_blocks:
             day = order // DAY_US
-            row = day - day.min()
-            width = int(np.clip(round(len(value) / (len(np.unique(day)))), 1, 8))
-            col = (order % DAY_US) * width // DAY_US
+            days, row = np.unique(day, return_inverse=True)
+            # about one reading in a cell, so that the largest of a cell tells of single readings
+            width = max(1, round(len(value) / len(days)))
+            col = np.unique((order % DAY_US) * width // DAY_US, return_inverse=True)[1]
         else:
             row, col = np.unique(series, return_inverse=True)[1], np.unique(order, return_inverse=True)[1]
         deviates[plain] = profile.sparse_part(row[plain], col[plain], value[plain])
@@ -101,7 +119,7 @@ def _block(table: pa.Table) -> pa.Table:
     columns = {
         "tbl": pa.array([tbl] * size, pa.string()),
         "src": pa.array([src] * size, pa.string()),
-        "block": pa.array([block] * size, pa.int32()),
+        "block": pa.array([block] * size, pa.int64()),
         "kind": pa.array([k for k, at, _, _ in parts for _ in range(len(at))], pa.string()),
         "pos": pa.array(np.concatenate([p[2] for p in parts]).astype(np.int32)),
         "equal": pa.array(equal[rows]),

@@ -46,6 +46,11 @@ def p4_series(spark: SparkSession, d: str) -> DataFrame:
     return regular.regularise(read(spark, d, "station_obs"), read(spark, d, "stations"))
 
 
+def p4_hidden(spark: SparkSession, d: str) -> DataFrame:
+    """How well observed slots kept from the factorisation are filled, per cadence."""
+    return regular.hidden_error(read(spark, d, "station_obs"), read(spark, d, "stations"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return nearby.near_and_within(read(spark, d, "sites"), read(spark, d, "zone_edges"))
 
@@ -60,7 +65,7 @@ def p6_unified(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p2_found, p2_loaded, p3_found, p3_forecasts, p3_observations, p4_found, p4_series, p5_found, p6_found, p6_unified)
+    f.__name__: f for f in (p1_found, p2_found, p2_loaded, p3_found, p3_forecasts, p3_observations, p4_found, p4_series, p4_hidden, p5_found, p6_found, p6_unified)
 }
 
 ORACLE: dict[str, str] = {

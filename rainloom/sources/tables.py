@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -32,18 +33,46 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that `spark.checkpoint.dir` names for all executors; one of this machine only where that is unset (tests, local mode)."""
+    """The folder that `spark.checkpoint.dir` names for all executors; one of this machine only in local mode where that is unset.
+
+    RuntimeError on a cluster without that setting, since executors can't read each other's disks.
+    """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not sc.master.split("[")[0] == "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="spark-")
+        sc.setCheckpointDir(folder)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+_staged: set[str] = set()
+
+
 def staged(df: DataFrame) -> DataFrame:
-    """`df` written once as a table in the shared folder and read again; cuts the lineage and outlives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    """`df` written once as a table in the shared folder and read again; cuts the lineage and outlives lost executors.
+
+    The table stays until `clear_staged`, or until the driver's Python ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    if not _staged:
+        atexit.register(clear_staged, spark)
+    _staged.add(path)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Removes the tables that `staged` has written; results that still read them can't be evaluated any more."""
+    if spark.sparkContext._jsc is None:  # the session has ended before
+        return
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _staged:
+        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:

@@ -6,7 +6,7 @@ import math
 
 import pytest
 
-from rainloom.operators import drift, forecast as fc, spatial, spikes, unify, verify as vf
+from rainloom.operators import drift, forecast as fc, regular, spatial, spikes, unify, verify as vf
 from rainloom.sources import stations
 
 T0 = dt.datetime(2024, 1, 1)
@@ -101,6 +101,45 @@ def test_the_size_of_a_file_counts_values_with_remarks_about_other_things(spark)
     assert [got[10 + i] for i in range(5)] == [("m", pytest.approx(v)) for v in size] and got[20] == ("mm", 7.0)
 
 
+def test_the_zone_of_the_session_does_not_matter(spark):
+    times = [dt.datetime(2024, 3, 31, h, 30) for h in range(24)] + [dt.datetime(2024, 10, 27, 2, 15)]
+    obs = spark.createDataFrame([(i, "s", t, 1.0 + i, T0, None) for i, t in enumerate(times) if i != 5], OBS)
+    where = spark.createDataFrame([("s", 3)], "station string, cadence_h int")
+    runs = spark.createDataFrame([(i, "s", T0 + dt.timedelta(hours=i), 7.77 if i < 7 else 1.0 * i, T0, None) for i in range(30)], OBS)
+    out = []
+    try:
+        for zone in ("UTC", "Europe/Paris"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            out.append((sorted(map(tuple, regular.regularise(obs, where).select("station", "slot", "status", "n").collect())), sorted(map(tuple, regular.empty_slots(obs, where).collect())), sorted(map(tuple, spikes.implausible(spikes.station_readings(runs)).collect()))))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert out[0] == out[1] and len(out[0][0]) == 62 * 8 and ("station_obs", 3, "stuck") in out[0][2]
+
+
+def test_spikes_in_many_cells_of_a_dense_station_and_colliding_numbers(spark):
+    rows = [(i, "hot", T0 + dt.timedelta(minutes=i), 200.0 + i % 7 if i % 9 == 0 else 0.5 + (i * 37 % 100) / 25, T0, None) for i in range(6000)]
+    found = {r.row_id for r in spikes.implausible(spikes.station_readings(spark.createDataFrame(rows, OBS))).collect()}
+    assert found == {i for i in range(6000) if i % 9 == 0}
+    # a member without a number and one beyond 1,023 are series of their own, so neither has six equal readings
+    fcst = [(10 * k + i, 1, "a", "forecast", n, T0, 24 * (i + 1), T0, 1, 0.1, 3.21, T0) for k, n in enumerate((None, 1023, 2047)) for i in range(4)]
+    attrs = spark.createDataFrame([(1, "x", "tp_daily", "mm", None, None)], ATTRS)
+    assert spikes.implausible(spikes.forecast_readings(spark.createDataFrame(fcst, FCST), attrs)).count() == 0
+
+
+def test_staged_tables_need_a_shared_folder_and_can_be_removed(spark):
+    import os
+
+    from rainloom.sources import tables
+
+    tables.clear_staged(spark)
+    folder = tables.shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    kept = tables.staged(spark.range(3))
+    assert kept.count() == 3 and len(set(os.listdir(folder)) - before) == 1
+    tables.clear_staged(spark)
+    assert set(os.listdir(folder)) == before
+
+
 @pytest.mark.parametrize("name", ["station_cpt", "bilinear_regrid", "map_layers_anomaly", "p6_found"])
 def test_registered_queries_on_empty_tables(spark, tmp_path, name):
     import __spark_entry__ as entry
