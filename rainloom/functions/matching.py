@@ -15,10 +15,24 @@ UNIT_ENDINGS = {"deg", "degrees", "dd", "decimal", "m", "metres", "meters", "ft"
 RANGES = {"longitude": (-180.0, 360.0), "latitude": (-90.0, 90.0), "elevation": (-500.0, 9000.0)}
 
 
+def _stem(path: str) -> str:
+    """The last key of a path without case, signs and unit endings."""
+    words = [w for w in re.split(r"[^a-z]+", path.rpartition(".")[2].casefold()) if w]
+    return "".join(w for i, w in enumerate(words) if i == 0 or w not in UNIT_ENDINGS)
+
+
+def resemblance(a: str, b: str) -> float:
+    """How alike two paths are: 1 for names of one stem or one field, a fuzzy ratio of 0.8 or more, else 0."""
+    x, y = _stem(a), _stem(b)
+    if x == y or any(x in names and y in names for names in ALIASES.values()):
+        return 1.0
+    ratio = SequenceMatcher(None, x, y).ratio() if min(len(x), len(y)) > 4 else 0.0
+    return ratio if ratio >= 0.8 else 0.0
+
+
 def likeness(field: str, path: str) -> float:
     """1 for a known name of the field, a fuzzy ratio of 0.8 or more for one near to it, else 0. Case and unit endings don't count."""
-    words = [w for w in re.split(r"[^a-z]+", path.rpartition(".")[2].casefold()) if w]
-    stem = "".join(w for i, w in enumerate(words) if i == 0 or w not in UNIT_ENDINGS)
+    stem = _stem(path)
     if stem in ALIASES[field]:
         return 1.0
     best = max((SequenceMatcher(None, stem, a).ratio() for a in ALIASES[field] if len(a) > 4), default=0.0)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rainloom.functions import matching
 from rainloom.operators import drift, nearby, rawlines, regular, spikes, unify
 from rainloom.sources.tables import read
 
@@ -68,7 +69,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (p1_found, p2_found, p2_loaded, p3_found, p3_forecasts, p3_observations, p4_found, p4_series, p4_hidden, p5_found, p6_found, p6_unified)
 }
 
+# The known names and unit endings of the fields, as in `functions.matching`; unlike the operator, the SQL goes by names alone.
+_NAMES = " ".join(f"when n in ({', '.join(repr(a) for a in names)}) then '{f}'" for f, names in matching.ALIASES.items())
+_ENDINGS = "|".join(sorted(matching.UNIT_ENDINGS))
+_LEAVES = f"""doc as (select record_id, feed, file_seq, case when json_valid(payload) then payload end p from station_catalog),
+l1 as (select record_id, feed, file_seq, e.key k, e.type t, e.value v from doc, json_each(p) e),
+l2 as (select record_id, feed, file_seq, l1.k || '.' || e.key k, e.type t, e.value v from l1, json_each(case when l1.t = 'OBJECT' then l1.v end) e),
+leaf as (select *, regexp_replace(lower(regexp_extract(k, '[^.]+$')), '[^a-z]+({_ENDINGS})$', '') n, case t when 'ARRAY' then 'array' when 'VARCHAR' then 'string' else 'number' end kind from (from l1 union all from l2) where t not in ('OBJECT', 'NULL')),
+field as (select feed, file_seq, record_id, k, kind, v, case {_NAMES} end field from leaf)"""
+
 ORACLE: dict[str, str] = {
+    "p6_found": f"""
+with {_LEAVES},
+one as (select feed, file_seq, field, arg_max(k, c) k, arg_max(kind, c) kind from (select feed, file_seq, field, k, kind, count(*) c from field where field is not null group by all) group by all),
+file as (select feed, file_seq, row_number() over (partition by feed order by file_seq) r from (select distinct feed, file_seq from station_catalog where feed is not null and file_seq is not null)),
+pair as (select b.feed, b.file_seq, f.field, x.k pk, x.kind pt, y.k qk, y.kind qt from file a join file b on a.feed = b.feed and b.r = a.r + 1, (values ('longitude'), ('latitude'), ('elevation')) f(field)
+  left join one x on x.feed = a.feed and x.file_seq = a.file_seq and x.field = f.field left join one y on y.feed = b.feed and y.file_seq = b.file_seq and y.field = f.field)
+select feed, file_seq, field, 'added' as change from pair where pk is null and qk is not null union all select feed, file_seq, field, 'removed' from pair where pk is not null and qk is null
+union all select feed, file_seq, field, 'renamed' from pair where pk <> qk union all select feed, file_seq, field, 'retyped' from pair where pt <> qt""",
     "p4_found": """
 with r as (
   select o.station, s.cadence_h, time_bucket(to_hours(s.cadence_h), o.time, timestamp '2000-01-01') as slot

@@ -147,3 +147,27 @@ def test_registered_queries_on_empty_tables(spark, tmp_path, name):
     for t in ("station_obs", "stations", "obs_daily", "grid", "lineitem", "supplier", "station_catalog"):
         spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))
     assert entry.queries()[name](spark, str(tmp_path)).count() == 0
+
+
+def test_drift_of_unknown_names_from_the_first_file_on(spark):
+    def payload(feed, i, k):
+        keys = {"known": ("lon", "lat", "elev"), "odd": (("aa", "bb", "cc"), ("aa", "bb", "cc"), ("AA", "qq", "cc"), ("AA", "qq", "kk"), ("aa", "bb", "kk"))[i], "late": (("u", "v", "w"), ("u", "v", "w"), ("u", "lat", "w"), ("lon", "lat", "w"), ("lon", "lat", "elev"))[i]}[feed]
+        return json.dumps({"station": f"s{k}", "n": 1, keys[0]: 10.0 + k, keys[1]: 40.0 + 3 * k, keys[2]: 300 + 9 * k})
+
+    docs = [(100 * f + 10 * i + k, feed, i, payload(feed, i, k)) for f, feed in enumerate(("known", "odd", "late")) for i in range(5) for k in range(9)]
+    catalog = spark.createDataFrame(docs, "record_id long, feed string, file_seq int, payload string")
+    assert {tuple(r) for r in drift.field_changes(catalog).collect()} == {
+        *[("odd", i, f, "renamed") for i in (2, 4) for f in ("longitude", "latitude")], ("odd", 3, "elevation", "renamed"),
+        ("late", 2, "latitude", "renamed"), ("late", 3, "longitude", "renamed"), ("late", 4, "elevation", "renamed"),
+    }
+    for r in drift.unified(catalog).collect():
+        k = r.record_id % 10
+        assert (r.longitude, r.latitude, r.elevation) == (10.0 + k, 40.0 + 3 * k, 300.0 + 9 * k)
+
+
+def test_drift_follows_a_column_through_chunks_of_files(spark):
+    key = lambda i: ("lon", "aa", "bb")[i // 200 % 3]
+    rows = [(i * 10 + j, "f", i, f'{{"station":"s{j}","{key(i)}":{10.5 + j},"other":{i % 7}}}') for i in range(600) for j in range(3)]
+    catalog = spark.createDataFrame(rows, "record_id long, feed string, file_seq int, payload string")
+    assert {tuple(r) for r in drift.field_changes(catalog).collect()} == {("f", 200, "longitude", "renamed"), ("f", 400, "longitude", "renamed")}
+    assert drift.unified(catalog).filter("longitude is null").count() == 0
