@@ -21,7 +21,10 @@ from rainloom.functions import matching
 from rainloom.sources.tables import staged
 
 FIELDS = tuple(matching.ALIASES)
+KINDS = ("array", "boolean", "number", "string")
 BUCKETS = 16
+#: Values in a sketch from here on stand for texts; no field has values as large.
+TEXT_VALUES = 1e7
 LEAST_WEIGHT = 0.7
 #: Weight of the agreement of values; names and types weigh at most 1 and 0.2.
 VALUES_WEIGHT, TYPE_WEIGHT = 1.5, 0.2
@@ -70,31 +73,28 @@ def number(text: Column, path: Column) -> Column:
 
 
 def profiles(parts: DataFrame) -> DataFrame:
-    """(feed, file_seq, paths): one row per file, with the profile of each of its paths. Values are counted before the rows of a file meet."""
-    entry = F.struct("h", F.col("value").alias("v"), F.xxhash64("text").alias("t"))
+    """(feed, file_seq, paths): one row per file, with the profile of each of its paths. Values are counted before the rows of a file meet.
+
+    A sketch is two arrays: hashes of stations, and the value of each; a text without a number has a value above TEXT_VALUES by its hash.
+    """
+    value = F.coalesce("value", F.lit(TEXT_VALUES) + F.pmod(F.xxhash64("text"), F.lit(1 << 40)))
     counted = (
         parts.withColumn("h", F.xxhash64("station"))
-        .groupBy(*FILE, "path", "kind", F.pmod("h", F.lit(BUCKETS)).alias("bucket"))
-        .agg(F.count("*").alias("n"), F.count("value").alias("numeric"), *[F.count_if(F.col("value").between(*matching.RANGES[f])).alias(f) for f in FIELDS], F.min(entry).alias("least"))
+        .groupBy(*FILE, "path", F.pmod("h", F.lit(BUCKETS)).alias("bucket"))
+        .agg(*[F.count_if(F.col("kind") == k).alias(k) for k in KINDS], F.count("value").alias("numeric"), *[F.count_if(F.col("value").between(*matching.RANGES[f])).alias(f) for f in FIELDS], F.min("h").alias("h"), F.min_by(value, "h").alias("v"))
     )
-    sums = [F.sum(c).alias(c) for c in ("n", "numeric", *FIELDS)]
     together = counted.repartition(*FILE)  # the groups below are already together
-    per_kind = together.groupBy(*FILE, "path", "kind").agg(*sums, F.collect_list("least").alias("sketch"))
-    per_path = per_kind.groupBy(*FILE, "path").agg(F.max_by("kind", F.struct("n", "kind")).alias("kind"), *sums, F.flatten(F.collect_list("sketch")).alias("sketch"))
-    return per_path.groupBy(*FILE).agg(F.sort_array(F.collect_list(F.struct("path", "kind", "n", "numeric", *FIELDS, "sketch"))).alias("paths"))
-
-
-def _same(x: dict, y: dict) -> bool:
-    if x["v"] is not None and y["v"] is not None:
-        return abs(x["v"] - y["v"]) <= 0.5 + 1e-3 * abs(x["v"])
-    return x["t"] == y["t"]
+    per_path = together.groupBy(*FILE, "path").agg(*[F.sum(c).alias(c) for c in (*KINDS, "numeric", *FIELDS)], F.collect_list("h").alias("h"), F.collect_list("v").alias("v"))
+    kind = F.array_max(F.array(*[F.struct(F.col(k).alias("n"), F.lit(k).alias("kind")) for k in KINDS]))["kind"]
+    n = sum((F.col(k) for k in KINDS[1:]), F.col(KINDS[0]))
+    return per_path.groupBy(*FILE).agg(F.sort_array(F.collect_list(F.struct("path", kind.alias("kind"), n.alias("n"), "numeric", *FIELDS, "h", "v"))).alias("paths"))
 
 
 def _agreement(a: dict, b: dict) -> float | None:
     """The share of stations with equal values among those in both sketches; None where there are none."""
-    theirs = {s["h"]: s for s in a["sketch"]}
-    common = [_same(theirs[s["h"]], s) for s in b["sketch"] if s["h"] in theirs]
-    return sum(common) / len(common) if common else None
+    theirs = a["sketch"]
+    common = [(theirs[h], v) for h, v in b["sketch"].items() if h in theirs]
+    return sum(abs(x - y) <= 0.5 + min(10.0, 1e-3 * abs(x)) for x, y in common) / len(common) if common else None
 
 
 def _links(before: list[dict], now: list[dict]) -> dict[str, str]:
@@ -126,18 +126,24 @@ def linked(files: DataFrame) -> DataFrame:
     order = Window.partitionBy("feed").orderBy("file_seq")  # keys only
     keys = files.select(*FILE).withColumns({"rank": F.row_number().over(order) - 1, "prev": F.lag("file_seq").over(order)})
     earlier = files.select("feed", F.col("file_seq").alias("prev"), F.col("paths").alias("before"))
-    pairs = keys.join(files, FILE).join(earlier, ["feed", "prev"], "left").select(*FILE, "rank", "paths", "before")
+    arrays = lambda p: [F.col(f"{p}.{c}").alias(f"{p}_{c}") for c in ("path", "kind", "h", "v")]
+    pairs = keys.join(files, FILE).join(earlier, ["feed", "prev"], "left").select(*FILE, "rank", *arrays("paths"), *arrays("before"))
     schema = StructType([pairs.schema["feed"], pairs.schema["file_seq"], pairs.schema["rank"]]).add(StructType.fromDDL("columns array<struct<path:string,kind:string,prev:string>>").fields[0])
 
+    def columns(batch: pa.RecordBatch, of: str) -> Iterator[list[dict]]:
+        for row in zip(*(batch.column(f"{of}_{c}").to_pylist() for c in ("path", "kind", "h", "v"))):
+            yield [{"path": p, "kind": k, "sketch": dict(zip(h, v))} for p, k, h, v in zip(*row)] if row[0] else []
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         for batch in batches:
             out = []
-            for r in batch.to_pylist():
-                prev = _links(r["before"] or [], r["paths"])
-                out.append({**{c: r[c] for c in (*FILE, "rank")}, "columns": [{"path": p["path"], "kind": p["kind"], "prev": prev.get(p["path"])} for p in r["paths"]]})
-            yield pa.RecordBatch.from_pylist(out, schema=to_arrow_schema(schema))
+            for now, before in zip(columns(batch, "paths"), columns(batch, "before")):
+                prev = _links(before, now)
+                out.append([{"path": p["path"], "kind": p["kind"], "prev": prev.get(p["path"])} for p in now])
+            result = to_arrow_schema(schema)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*FILE, "rank")), pa.array(out, result.field("columns").type)], schema=result)
 
     return pairs.mapInArrow(run, schema)
 
@@ -211,7 +217,7 @@ def labelled(files: DataFrame, nodes: DataFrame) -> DataFrame:
     named = F.zip_with("able", "like", lambda a, x: F.when(a, x).otherwise(0.0))
     known = chains.select(*key, named.alias("weights"))
     tells = F.array_max("weights") >= LEAST_WEIGHT
-    values = columns.select(*key, F.inline("sketch")).filter("v is not null")
+    values = columns.select(*key, F.inline(F.arrays_zip("h", "v"))).filter(F.abs("v") < TEXT_VALUES)
     field = F.array_position("weights", F.array_max("weights")).cast("int")
     reference = values.join(known.filter(tells), key).groupBy(field.alias("f"), "h").agg(F.percentile_approx("v", 0.5).alias("r"))
     agreed = (
