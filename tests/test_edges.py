@@ -171,3 +171,30 @@ def test_drift_follows_a_column_through_chunks_of_files(spark):
     catalog = spark.createDataFrame(rows, "record_id long, feed string, file_seq int, payload string")
     assert {tuple(r) for r in drift.field_changes(catalog).collect()} == {("f", 200, "longitude", "renamed"), ("f", 400, "longitude", "renamed")}
     assert drift.unified(catalog).filter("longitude is null").count() == 0
+
+
+def test_a_crowded_cell_is_parted_again_and_loses_no_pair(spark, monkeypatch):
+    import numpy as np
+
+    from rainloom.functions import sphere
+    from rainloom.operators import nearby
+
+    monkeypatch.setattr(nearby, "FIRST_PIVOTS", 1)
+    monkeypatch.setattr(nearby, "PROBES", 2000)
+    monkeypatch.setattr(nearby, "CELL_POINTS", 200)
+    rng = np.random.default_rng(3)
+    lon, lat = np.round(np.concatenate([10 + rng.random(20_000) * 0.5, np.full(40, 10.1), 10.2 + rng.random(3000) * 0.001]), 6), np.round(np.concatenate([5 + rng.random(20_000) * 0.5, np.full(40, 5.1), 5.2 + rng.random(3000) * 0.001]), 6)
+    points = spark.createDataFrame(list(zip(range(len(lon)), lon.tolist(), lat.tolist())), "site_id long, longitude double, latitude double")
+    cells = nearby._cells(points.select("longitude", "latitude").distinct(), 2 * 0.5 / sphere.RADIUS_KM + 1e-6).groupBy("cell").agg({"home": "count", "parts": "max"}).collect()
+    assert len(cells) > 20 and sum(r[1] > 6000 for r in cells) == 0
+    got = {tuple(r) for r in nearby.near_pairs(points, 0.5).collect()}
+    want = set()
+    by_cell = {}
+    for i, (x, y) in enumerate(zip(lon, lat)):
+        by_cell.setdefault((int(x / 0.005), int(y / 0.005)), []).append(i)
+    for (cx, cy), mine in by_cell.items():
+        other = np.array([j for dx in (-1, 0, 1) for dy in (-1, 0, 1) for j in by_cell.get((cx + dx, cy + dy), ())])
+        for i in mine:
+            close = other[(other > i) & (sphere.distance_km(lon[i], lat[i], lon[other], lat[other]) <= 0.5)]
+            want |= {(i, int(j)) for j in close}
+    assert got == want
