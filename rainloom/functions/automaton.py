@@ -31,8 +31,11 @@ def clean(line: str) -> str:
     return line.lstrip("\ufeff").rstrip("\r\n")
 
 
-def split(lines: list[str], delim: str) -> list[tuple[list[str] | None, int]]:
-    """(fields, offset) of each line: fields None and the offset of the failing character (or of an unclosed quote) where quoting fails."""
+def split(lines: list[str], delim: str) -> list[tuple[list[str] | None, list[int]]]:
+    """(fields, offsets) of each line, an offset being that of the first character of a field.
+
+    Where quoting fails, fields are None and the one offset is that of the failing character or of an unclosed quote.
+    """
     n = len(lines)
     lengths = np.fromiter((len(x) for x in lines), np.int64, n)
     chunks = np.maximum(1, -(-lengths // CHUNK))
@@ -71,19 +74,15 @@ def split(lines: list[str], delim: str) -> list[tuple[list[str] | None, int]]:
     cuts = np.split(offset[cut], np.cumsum(np.bincount(line_of[cut], minlength=n))[:-1]) if n else []
     fail_at = np.full(n, -1)
     fail_at[line_of[broken]] = offset[broken]
-    out: list[tuple[list[str] | None, int]] = []
+    out: list[tuple[list[str] | None, list[int]]] = []
     for i, line in enumerate(lines):
         if ends[i] == FAILED:
-            out.append((None, int(fail_at[i])))
+            out.append((None, [int(fail_at[i])]))
         elif ends[i] == QUOTED:
-            out.append((None, line.rfind('"')))
+            out.append((None, [line.rfind('"')]))
         else:
-            if len(cuts[i]) == 0:
-                fields = [line]
-            else:
-                at = [-1, *cuts[i].tolist(), len(line)]
-                fields = [line[a + 1 : b] for a, b in zip(at, at[1:])]
-            out.append(([unquote(f) for f in fields], -1))
+            begins = [0, *(cuts[i] + 1).tolist()]
+            out.append(([unquote(line[a : b - 1]) for a, b in zip(begins, [*begins[1:], len(line) + 1])], begins))
     return out
 
 

@@ -80,18 +80,22 @@ def thresholds(hindcast: DataFrame) -> DataFrame:
     return pooled.select(*CELL, *[quantile(F.col("v"), p(*q)).alias(n) for n, q in QUANTILES.items()], "clim_mean", F.coalesce(F.col("clim_mean") < DRY_MM, F.lit(False)).alias("dry_mask"))
 
 
-def probabilities(forecast: DataFrame, limits: DataFrame) -> DataFrame:
-    """Shares of members below, within and above the thresholds; missing members count in the denominator only."""
+def probabilities(forecast: DataFrame, limits: DataFrame, also: list[str] | None = None) -> DataFrame:
+    """Shares of members below, within and above the thresholds; missing members count in the denominator only. `also` parts forecasts beyond CELL."""
+    return forecast.join(limits, CELL).groupBy(*CELL, *(also or [])).agg(*_shares())
+
+
+def _shares() -> list[Column]:
     v, n = known(F.col("acc_mm")), F.count("*")
     share = lambda c: F.sum(flag(c)) / n
-    return forecast.join(limits, CELL).groupBy(*CELL).agg(
+    return [
         share(v < F.col("tercile_lower")).alias("prob_BN"),
         share((v >= F.col("tercile_lower")) & (v <= F.col("tercile_upper"))).alias("prob_NN"),
         share(v > F.col("tercile_upper")).alias("prob_AN"),
         share(v < F.col("quintile_lower")).alias("prob_low20"),
         share(v > F.col("quintile_upper")).alias("prob_high20"),
         share(v > F.col("median")).alias("prob_exceed_median"),
-    )
+    ]
 
 
 def coherence(probs: DataFrame) -> DataFrame:
@@ -114,12 +118,13 @@ def dispersion(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     return df.withColumn("deviation", known(F.col(value)) - F.avg(known(F.col(value))).over(Window.partitionBy(*keys)))
 
 
-def light_products(forecast: DataFrame, hindcast: DataFrame) -> DataFrame:
-    """Ensemble-mean anomaly, the six probabilities, the climatology and the dry mask in single precision."""
-    limits = thresholds(hindcast)
-    anomaly = anomalies(forecast, hindcast).groupBy(*CELL).agg(F.avg("anomaly").alias("ens_mean_anomaly"))
-    joined = anomaly.join(probabilities(forecast, limits), CELL).join(limits.select(*CELL, "clim_mean", "dry_mask"), CELL)
-    return joined.select(*CELL, *[F.col(c).cast("float").alias(c) for c in ("ens_mean_anomaly", *PROBABILITIES, "clim_mean")], F.col("dry_mask").cast("tinyint").alias("dry_mask"))
+def light_products(forecast: DataFrame, hindcast: DataFrame, also: list[str] | None = None) -> DataFrame:
+    """Ensemble-mean anomaly, the six probabilities, the climatology and the dry mask in single precision, in one pass over the forecasts."""
+    keys, limits = [*CELL, *(also or [])], thresholds(hindcast)
+    joined = forecast.join(limits, CELL)
+    anomaly = F.avg(F.col("acc_mm") - F.col("clim_mean")).alias("ens_mean_anomaly")
+    joined = joined.groupBy(*keys, "clim_mean", "dry_mask").agg(anomaly, *_shares())
+    return joined.select(*keys, *[F.col(c).cast("float").alias(c) for c in ("ens_mean_anomaly", *PROBABILITIES, "clim_mean")], F.col("dry_mask").cast("tinyint").alias("dry_mask"))
 
 
 def summary_class(below: Column, near: Column, above: Column) -> Column:
@@ -133,10 +138,11 @@ def summary_class(below: Column, near: Column, above: Column) -> Column:
     )
 
 
-def multimodel(light: DataFrame, models: int) -> DataFrame:
-    """Equal-weight means over models that skip missing ones, terciles renormalised to 1, and a majority vote on dryness among `models` (ties are dry)."""
-    keys = ["cell_id", "period_id"]
-    means = light.groupBy(*keys).agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in ("ens_mean_anomaly", *PROBABILITIES)], (F.sum(F.col("dry_mask").cast("int")) >= F.lit(models) / 2).alias("dry"))
+def multimodel(light: DataFrame, models: int | Column, also: list[str] | None = None) -> DataFrame:
+    """Equal-weight means over models that skip missing ones, terciles renormalised to 1, and a majority vote on dryness among `models`, a number or an aggregate (ties are dry)."""
+    keys = ["cell_id", "period_id", *(also or [])]
+    models = models if isinstance(models, Column) else F.lit(models)
+    means = light.groupBy(*keys).agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in ("ens_mean_anomaly", *PROBABILITIES)], (F.sum(F.col("dry_mask").cast("int")) >= models / 2).alias("dry"))
     whole = F.col("prob_BN") + F.col("prob_NN") + F.col("prob_AN")
     scale = F.when(whole == 0, 1.0).otherwise(whole)
     return means.withColumns({f"norm_{k}": F.col(f"prob_{k}") / scale for k in ("BN", "NN", "AN")})

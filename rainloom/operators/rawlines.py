@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -33,42 +34,51 @@ def _date(s: str) -> dt.date | None:
         return None
 
 
-def _typed(fields: list[str], n_fields: int | None) -> tuple[str, dt.date | None, list[float | None] | None]:
+@lru_cache(1 << 16)
+def _value(field: str) -> float | None | bool:
+    """The amount in a field, None for a missing mark, False where it is neither."""
+    if _MISSING.fullmatch(field):
+        return None
+    return abs(float(field)) if _NUMBER.fullmatch(field) else False
+
+
+def _typed(fields: list[str], begins: list[int], end: int, n_fields: int | None) -> tuple[str, int, dt.date | None, list[float | None] | None]:
+    """(status, offset, day, values): the offset is that of the field that fails; of the first one too many, or of the end of a line with too few."""
     if n_fields is not None and len(fields) != n_fields:
-        return "columns", None, None
+        return "columns", begins[n_fields] if len(fields) > n_fields else end, None, None
     day = _date(fields[0])
     if day is None:
-        return "time", None, None
-    values: list[float | None] = []
-    for f in fields[1:]:
-        if _MISSING.fullmatch(f):
-            values.append(None)
-        elif _NUMBER.fullmatch(f):
-            values.append(abs(float(f)))
-        else:
-            return "prcp", None, None
-    return "ok", day, values
+        return "time", begins[0], None, None
+    values = [_value(f) for f in fields[1:]]
+    if False in values:
+        wrong = next((i for i, v in enumerate(values, 1) if v is False), None)
+        if wrong is not None:  # 0.0 equals False
+            return "prcp", begins[wrong], None, None
+    return "ok", -1, day, values
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        pdf = pdf.reset_index(drop=True)
         n = len(pdf)
         status, at, days, values, names = ["blank"] * n, [-1] * n, [None] * n, [None] * n, [None] * n
-        cleaned = [automaton.clean(x) if isinstance(x, str) else "" for x in pdf["raw"]]
-        full = [bool(x.strip(" \t\u00a0\r\n")) for x in cleaned]
-        for delim, rows in pdf.index[full].groupby(pdf["delim"].fillna(",").where(pdf["delim"].fillna(",") != "", ",")[full]).items():
-            rows = list(rows)
-            for i, (fields, place) in zip(rows, automaton.split([cleaned[i] for i in rows], delim)):
-                number, head = pdf.at[i, "n_fields"], pdf.at[i, "line_no"] <= HEADER_LINES
-                at[i] = place
-                if head:
+        raw = [x if isinstance(x, str) else "" for x in pdf["raw"]]
+        cleaned = [automaton.clean(x) for x in raw]
+        numbers, line_no = pdf["n_fields"].tolist(), pdf["line_no"].tolist()
+        by_delim: dict[str, list[int]] = {}
+        for i, (line, delim) in enumerate(zip(cleaned, pdf["delim"])):
+            if line.strip(" \t\u00a0\r\n"):
+                by_delim.setdefault(delim if isinstance(delim, str) and delim else ",", []).append(i)
+        for delim, rows in by_delim.items():
+            for i, (fields, begins) in zip(rows, automaton.split([cleaned[i] for i in rows], delim)):
+                mark = len(raw[i]) - len(raw[i].lstrip("\ufeff"))
+                if line_no[i] <= HEADER_LINES:
                     status[i], names[i] = "header", fields
                 elif fields is None:
-                    status[i] = "quoting"
+                    status[i], at[i] = "quoting", begins[0] + mark
                 else:
-                    status[i], days[i], values[i] = _typed(fields, None if pd.isna(number) else int(number))
-        yield pd.DataFrame({"line_id": pdf["line_id"], "file_name": pdf["file_name"], "line_no": pdf["line_no"], "status": status, "at": at, "time": days, "prcp": values, "names": names})
+                    status[i], place, days[i], values[i] = _typed(fields, begins, len(cleaned[i]), None if pd.isna(numbers[i]) else int(numbers[i]))
+                    at[i] = place + mark if place >= 0 else -1
+        yield pd.DataFrame({"line_id": pdf["line_id"].to_numpy(), "file_name": pdf["file_name"].to_numpy(), "line_no": pdf["line_no"].to_numpy(), "status": status, "at": at, "time": days, "prcp": values, "names": names})
 
 
 def _run(lines: DataFrame) -> DataFrame:
@@ -85,7 +95,7 @@ def headers(lines: DataFrame) -> DataFrame:
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """One row per line with `status`: `ok` (then `time` and `prcp` hold), `header`, `blank`, or the first reason of
-    `quoting`, `columns`, `time`, `prcp`; `at` is the offset of a quoting failure.
+    `quoting`, `columns`, `time`, `prcp`; `at` is the offset in `raw` of the character or field that fails (the end of a line with too few fields), -1 where none does.
 
     Null and blank lines are `blank`. The number of fields of a line in a file without a readable ID line isn't checked. Repeated lines each get their own row.
     """

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rainloom.functions import matching
 from rainloom.operators import drift, nearby, rawlines, regular, spikes, unify
+from rainloom.plans.sql import UNITS
 from rainloom.sources.tables import read
 
 
@@ -24,6 +25,11 @@ def p2_loaded(spark: SparkSession, d: str) -> DataFrame:
     return rawlines.loaded_readings(read(spark, d, "station_lines"))
 
 
+def p2_errors(spark: SparkSession, d: str) -> DataFrame:
+    """The lines that fail, with their reason and the offset of the character or field that does."""
+    return rawlines.parse_lines(read(spark, d, "station_lines")).filter("at >= 0").select("line_id", F.col("status").alias("reason"), "at")
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return unify.other_units(read(spark, d, "fcst_daily"), read(spark, d, "obs_daily"), read(spark, d, "file_attrs"))
 
@@ -66,7 +72,7 @@ def p6_unified(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p2_found, p2_loaded, p3_found, p3_forecasts, p3_observations, p4_found, p4_series, p4_hidden, p5_found, p6_found, p6_unified)
+    f.__name__: f for f in (p1_found, p2_found, p2_loaded, p2_errors, p3_found, p3_forecasts, p3_observations, p4_found, p4_series, p4_hidden, p5_found, p6_found, p6_unified)
 }
 
 # The known names and unit endings of the fields, as in `functions.matching`; unlike the operator, the SQL goes by names alone.
@@ -78,7 +84,25 @@ l2 as (select record_id, feed, file_seq, l1.k || '.' || e.key k, e.type t, e.val
 leaf as (select *, regexp_replace(lower(regexp_extract(k, '[^.]+$')), '[^a-z]+({_ENDINGS})$', '') n, case t when 'ARRAY' then 'array' when 'VARCHAR' then 'string' else 'number' end kind from (from l1 union all from l2) where t not in ('OBJECT', 'NULL')),
 field as (select feed, file_seq, record_id, k, kind, v, case {_NAMES} end field from leaf)"""
 
+_LINES = f"""head as (select file_name, regexp_replace(arg_min(raw, line_id), '^\\x{{FEFF}}', '') raw from station_lines where line_no = 1 group by 1),
+known as (select file_name, raw, regexp_extract(raw, '^\\s*(?:"[^"]*"|[^",;\t]*?)\\s*([,;\t])', 1) d from head),
+line as (select line_id, file_name, line_no, coalesce(nullif(d, ''), ',') d, regexp_replace(regexp_replace(regexp_replace(l.raw, '^\\x{{FEFF}}+', ''), '[\\r\\n]+$', ''), '\\x{{A0}}', ' ', 'g') t from station_lines l left join known using (file_name)),
+form as (select *, case when d = chr(9) then '[ ]*' else '[ \\t]*' end b from line),
+cell as (select line_id, file_name, line_no, d, t, regexp_full_match(t, '(?:' || b || '"(?:[^"]|"")*"' || b || '|[^"' || d || ']*)(?:' || d || '(?:' || b || '"(?:[^"]|"")*"' || b || '|[^"' || d || ']*))*') well,
+  list_transform(string_split(regexp_replace(regexp_replace(t, '"([^"' || d || ']*)"', case when line_no > 4 then '\\1' else 'x' end, 'g'), '"(?:[^"]|"")*"', 'x', 'g'), d), lambda x: regexp_replace(x, '^[ \\t]+|[ \\t]+$', '', 'g')) f from form),
+size as (select file_name, len(f) k from cell where line_no = 1 qualify row_number() over (partition by file_name order by line_id) = 1),
+judged as (select line_id, c.file_name, f, case when not well then 'quoting' when len(f) <> k then 'columns' when not regexp_full_match(f[1], '[0-9]{{8}}') or try_strptime(f[1], '%Y%m%d') is null then 'time'
+  when len(list_filter(f[2:], lambda x: not regexp_full_match(lower(x), 'na|nan||-(?:999|99|9999)(?:\\.0*)?|\\+?(?:[0-9]+\\.?[0-9]*|\\.[0-9]+)(?:e[+-]?[0-9]+)?|-(?:0+\\.?0*|\\.0+)(?:e[+-]?[0-9]+)?'))) > 0 then 'prcp' else 'ok' end reason
+  from cell c left join size using (file_name) where line_no > 4 and regexp_matches(t, '[^ \\t]'))"""
+
 ORACLE: dict[str, str] = {
+    "p2_found": f"with {_LINES} select line_id, reason from judged where reason <> 'ok'",
+    "p3_found": f"""
+with {UNITS}, v as (select 'fcst_daily' tbl, 'tp' field, fcst_id row_id, tp v, unit from fcst_daily join units using (file_id) where field = 'tp' union all select 'fcst_daily', 'tp_daily', fcst_id, tp_daily, unit from fcst_daily join units using (file_id) where field = 'tp_daily'
+  union all select 'obs_daily', 'precip', row_id, precip, unit from obs_mm)
+select tbl, field, row_id, unit from v where v is not null and not isnan(v) and unit <> case field when 'tp' then 'm' else 'mm' end""",
+    "p3_forecasts": f"with {UNITS} select fcst_id, tp tp_m, tp_daily tp_daily_mm from fcst_mm",
+    "p3_observations": f"with {UNITS} select row_id, precip precip_mm from obs_mm",
     "p6_found": f"""
 with {_LEAVES},
 one as (select feed, file_seq, field, arg_max(k, c) k, arg_max(kind, c) kind from (select feed, file_seq, field, k, kind, count(*) c from field where field is not null group by all) group by all),

@@ -2,8 +2,9 @@
 
 Verification needs many members, years and models per cell. Queries marked (cube) take them from the order lines, mapped to
 a forecast cube: model = return flag and line status, cell = nation of the supplier, member = line number modulo 5, daily
-amount = quantity shipped; observations are the order totals by nation of the customer. The other queries read the rainfall
-tables. Values are rounded to six digits.
+amount = quantity shipped; observations are the order totals by nation of the customer. The cube holds all rows and is there
+for load; the same operators run on the rainfall tables in `plans/runs.py`. The other queries read the rainfall tables,
+converted to millimetres. Values are rounded to six digits.
 """
 
 from __future__ import annotations
@@ -15,13 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rainloom import config
 from rainloom.functions import labels, requests
 from rainloom.functions.expr import decode_months, known, level_bin
-from rainloom.operators import forecast as fc, periods as pd_, spatial, verify as vf
+from rainloom.operators import forecast as fc, periods as pd_, spatial, unify, verify as vf
 from rainloom.plans import sql
 from rainloom.sources import stations as st
-from rainloom.sources.tables import read
+from rainloom.sources.tables import read, staged
 
-MEMBERS, YEARS, HINDCAST, FORECAST, PERIODS = list(range(5)), list(range(1995, 2001)), (1995, 1999), 2000, list(range(6, 12))
-MODELS = 6
+MEMBERS, MONTHS = list(range(5)), list(range(1, 13))
 SEASONS = {"DJF": (1201, 228), "MAM": (301, 531), "JJA": (601, 831), "SON": (901, 1130), "NDJF": (1101, 229)}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = sql.ORACLE
@@ -47,26 +47,40 @@ def t6(*names: str) -> list[Column]:
 def cube(spark: SparkSession, d: str) -> DataFrame:
     lines = read(spark, d, "lineitem").select("l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity", "l_shipdate")
     day = F.to_date("l_shipdate")
-    kept = lines.filter(F.month("l_shipdate").between(6, 11) & (F.year("l_shipdate") <= FORECAST)).join(read(spark, d, "supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+    kept = lines.join(read(spark, d, "supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
     return kept.groupBy(
         F.concat("l_returnflag", "l_linestatus").alias("model"), F.col("s_nationkey").alias("cell_id"), (F.col("l_linenumber") % 5).cast("int").alias("number"), F.year(day).alias("year"), day.alias("day")
     ).agg(F.sum("l_quantity").alias("tp_daily"))
 
 
+def last_year(spark: SparkSession, d: str) -> tuple[int, int]:
+    """First and last year of the cube; the last one is forecast, those before are hindcasts."""
+    r = read(spark, d, "lineitem").agg(F.min(F.year("l_shipdate")), F.max(F.year("l_shipdate"))).first()
+    return r[0] or 0, r[1] or 0
+
+
 def acc(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Hindcast and forecast amounts by month."""
-    c = fc.dense(cube(spark, d).withColumn("period_id", F.month("day")), MEMBERS, YEARS, PERIODS)
-    return c.filter(F.col("year").between(*HINDCAST)), c.filter(F.col("year") == FORECAST)
+    """Hindcast and forecast amounts by month, written once for all branches of a query."""
+    first, last = last_year(spark, d)
+    c = staged(fc.dense(cube(spark, d).withColumn("period_id", F.month("day")), MEMBERS, list(range(first, last + 1)), MONTHS))
+    return c.filter(F.col("year") < last), c.filter(F.col("year") == last)
 
 
 def observed(spark: SparkSession, d: str) -> DataFrame:
     o = read(spark, d, "orders").join(read(spark, d, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-    o = o.withColumns({"year": F.year("o_orderdate"), "period_id": F.month("o_orderdate")}).filter(F.col("period_id").between(6, 11) & F.col("year").between(*HINDCAST))
+    o = o.withColumns({"year": F.year("o_orderdate"), "period_id": F.month("o_orderdate")}).filter(F.col("year") < last_year(spark, d)[1])
     return o.groupBy(F.col("c_nationkey").alias("cell_id"), "period_id", "year").agg((F.sum("o_totalprice") / 1000.0).alias("acc_mm"))
 
 
+def cube_zone(spark: SparkSession, d: str) -> DataFrame:
+    """(cell_id, in_zone) of the cells of the cube, which lie on a lattice of five by five; the zones are the true ones."""
+    k = F.col("s_nationkey")
+    cells = read(spark, d, "supplier").select(k.alias("cell_id"), (4.0 + 8.0 * (k % 5)).alias("longitude"), (-21.0 + 11.5 * F.floor(k / 5)).alias("latitude")).distinct()
+    return spatial.grid_mask(cells, read(spark, d, "zone_edges"))
+
+
 def verification(spark: SparkSession, d: str) -> DataFrame:
-    return vf.pairs(acc(spark, d)[0], observed(spark, d))
+    return staged(vf.pairs(acc(spark, d)[0], observed(spark, d)))
 
 
 def limits(spark: SparkSession, d: str) -> DataFrame:
@@ -78,6 +92,12 @@ def probs(spark: SparkSession, d: str) -> DataFrame:
     return fc.probabilities(f, fc.thresholds(h))
 
 
+def probs_and_limits(spark: SparkSession, d: str) -> DataFrame:
+    h, f = acc(spark, d)
+    limits = fc.thresholds(h)
+    return fc.probabilities(f, limits).join(limits.select(*fc.CELL, "dry_mask"), fc.CELL)
+
+
 def light(spark: SparkSession, d: str) -> DataFrame:
     h, f = acc(spark, d)
     return fc.light_products(f, h)
@@ -87,9 +107,11 @@ def light(spark: SparkSession, d: str) -> DataFrame:
 
 
 def forecasts(spark: SparkSession, d: str, columns: tuple[str, ...] = ("tp", "tp_daily")) -> DataFrame:
-    """`fcst_daily` with the last delivery of each repeated row."""
+    """`fcst_daily` with the last delivery of each repeated row, `tp` in metres and `tp_daily` in millimetres whatever the unit of the file."""
     keys = ["file_id", "model", "kind", "number", "init_time", "step_h", "valid_time", "cell_id"]
-    return fc.latest(read(spark, d, "fcst_daily").select(*keys, *columns, "received", "fcst_id"), keys, ["received", "fcst_id"])
+    same = {"tp": "tp_m", "tp_daily": "tp_daily_mm"}
+    mm = unify.convert_forecast(read(spark, d, "fcst_daily"), read(spark, d, "file_attrs")).select(*keys, *[F.col(same[c]).alias(c) for c in columns], "received", "fcst_id")
+    return fc.latest(mm, keys, ["received", "fcst_id"])
 
 
 def finite(c: str) -> Column:
@@ -97,8 +119,9 @@ def finite(c: str) -> Column:
 
 
 def observations(spark: SparkSession, d: str) -> DataFrame:
-    """`obs_daily` on the cells of the grid, the last of repeated rows."""
-    o = fc.latest(read(spark, d, "obs_daily").select("file_id", "time", "latitude", "longitude", "precip", "row_id"), ["file_id", "time", "latitude", "longitude"], ["row_id"])
+    """`obs_daily` in millimetres on the cells of the grid, the last of repeated rows."""
+    mm = unify.convert_observations(read(spark, d, "obs_daily"), read(spark, d, "file_attrs")).select("file_id", "time", "latitude", "longitude", F.col("precip_mm").alias("precip"), "row_id")
+    o = fc.latest(mm, ["file_id", "time", "latitude", "longitude"], ["row_id"])
     return o.join(read(spark, d, "grid").select("cell_id", "latitude", "longitude"), ["latitude", "longitude"])
 
 
@@ -216,7 +239,8 @@ def light_products(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _multi(spark: SparkSession, d: str) -> DataFrame:
-    return fc.multimodel(light(spark, d), MODELS)
+    products = light(spark, d)
+    return fc.multimodel(products, products.select("model").distinct().count())
 
 
 def _r4(*names: str) -> list[Column]:
@@ -240,7 +264,7 @@ def multimodel_dry_vote(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def tercile_summary_class(spark: SparkSession, d: str) -> DataFrame:
-    p = probs(spark, d).join(limits(spark, d).select(*fc.CELL, "dry_mask"), fc.CELL)
+    p = probs_and_limits(spark, d)
     c = fc.summary_class(F.col("prob_BN"), F.col("prob_NN"), F.col("prob_AN"))
     return p.select(*fc.CELL, F.when(F.col("dry_mask"), "D").otherwise(c).alias("class"))
 
@@ -290,15 +314,15 @@ def ens_skill(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def reliability(spark: SparkSession, d: str) -> DataFrame:
-    zone = read(spark, d, "grid").filter("in_zone").select("cell_id")
+    zone = cube_zone(spark, d).filter("in_zone").select("cell_id")
     joined = verification(spark, d).join(zone, "cell_id", "left_semi")
     return vf.reliability(joined, ["model", "period_id"]).select("model", "period_id", "category", "bin", "n", *r6("mean_fcst", "obs_freq"))
 
 
 @query
 def domain_stats(spark: SparkSession, d: str) -> DataFrame:
-    zone = read(spark, d, "grid").filter("in_zone").select("cell_id")
-    scores = vf.skill_scores(verification(spark, d)).join(zone, "cell_id", "left_semi")
+    zone = cube_zone(spark, d).filter("in_zone").select("cell_id")
+    scores = vf.skill_scores(verification(spark, d)).join(zone, "cell_id", "left_semi").withColumn("rpss", F.round("rpss", 9))
     return vf.domain_stats(scores, "rpss", ["model", "period_id"]).select("model", "period_id", *r6("mean", "positive"))
 
 
@@ -306,13 +330,17 @@ def domain_stats(spark: SparkSession, d: str) -> DataFrame:
 def summary_text(spark: SparkSession, d: str) -> DataFrame:
     v = verification(spark, d)
     scores = vf.skill_scores(v).join(vf.roc_areas(v), fc.CELL).join(vf.ensemble_skill(acc(spark, d)[0], observed(spark, d)), fc.CELL)
-    stats = scores.groupBy("model", "period_id").agg(F.avg("rpss").alias("rpss"), F.avg(F.when(F.col("rpss") > 0, 1.0).otherwise(0.0)).alias("positive"), F.avg("roc_BN").alias("roc_bn"), F.avg("roc_AN").alias("roc_an"), F.avg("corr_ens").alias("corr"))
+    scores = scores.join(cube_zone(spark, d).filter("in_zone"), "cell_id", "left_semi")
+    # a billionth settles means that lie halfway between two of the printed digits
+    mean = lambda c: F.avg(c) + 1e-9
+    stats = scores.groupBy("model", "period_id").agg(mean("rpss").alias("rpss"), mean(F.when(F.round("rpss", 9) > 0, 1.0).otherwise(0.0)).alias("positive"), mean("roc_BN").alias("roc_bn"), mean("roc_AN").alias("roc_an"), mean("corr_ens").alias("corr"))
     return vf.summary_lines(stats.withColumn("label", F.concat_ws(" ", "model", F.col("period_id").cast("string"))))
 
 
 @query
 def multimodel_verification(spark: SparkSession, d: str) -> DataFrame:
-    pairs = vf.multimodel_pairs(verification(spark, d), MODELS)
+    joined = verification(spark, d)
+    pairs = vf.multimodel_pairs(joined, joined.select("model").distinct().count())
     keys = ["cell_id", "period_id"]
     return vf.skill_scores(pairs, keys).join(vf.roc_areas(pairs, keys), keys).select(*keys, *r6("rpss", "bss_BN", "bss_NN", "bss_AN", "roc_BN", "roc_AN"))
 
@@ -334,9 +362,9 @@ def mask_census(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def bilinear_regrid(spark: SparkSession, d: str) -> DataFrame:
-    """Elevation-free test field: the mean observed amount of each cell (or its distance from the corner where unobserved), at the stations."""
+    """The mean observed amount at each station, between the four cells around it; null where one of them was never observed."""
     mean = observations(spark, d).groupBy("cell_id").agg(F.avg(finite("precip")).alias("m"))
-    source = read(spark, d, "grid").join(mean, "cell_id", "left").select("latitude", "longitude", F.coalesce("m", (F.col("iy") + F.col("ix")).cast("double")).alias("precip"))
+    source = read(spark, d, "grid").join(mean, "cell_id", "left").select("latitude", "longitude", F.col("m").alias("precip"))
     targets = read(spark, d, "stations").groupBy("station").agg(F.min("longitude").alias("longitude"), F.min("latitude").alias("latitude"))
     return spatial.bilinear(source, targets, "station", "precip").select("station", *t6("precip"))
 
@@ -351,7 +379,7 @@ def station_detect(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def station_cdt(spark: SparkSession, d: str) -> DataFrame:
-    return st.station_rows(read(spark, d, "station_lines"), "cdt")
+    return st.station_rows(read(spark, d, "station_lines"), "cdt").withColumns({c: F.round(c, 7) for c in ("longitude", "latitude")})
 
 
 @query
@@ -467,13 +495,13 @@ def contour_level_bin(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _zoned(df: DataFrame, spark: SparkSession, d: str) -> DataFrame:
-    return df.join(read(spark, d, "grid").select("cell_id", "in_zone"), "cell_id", "left")
+    return df.join(cube_zone(spark, d), "cell_id", "left")
 
 
 @query
 def map_layers_probability(spark: SparkSession, d: str) -> DataFrame:
     """Percent of each probability inside the zones where it isn't dry, with its ten-percent bin; null elsewhere (cube)."""
-    p = _zoned(probs(spark, d).join(limits(spark, d).select(*fc.CELL, "dry_mask"), fc.CELL), spark, d)
+    p = _zoned(probs_and_limits(spark, d), spark, d)
     long = p.select(*fc.CELL, "in_zone", "dry_mask", F.inline(F.array(*[F.struct(F.lit(c).alias("layer"), F.col(c).alias("p")) for c in config.PROBABILITIES])))
     percent = F.when(F.coalesce("in_zone", F.lit(False)) & ~F.col("dry_mask"), F.round(F.col("p") * 100, 6))
     return long.select(*fc.CELL, "layer", percent.alias("percent"), F.when(percent.isNotNull(), F.floor(F.least(percent, F.lit(99.0)) / 10)).cast("double").alias("bin"))
@@ -520,7 +548,7 @@ def map_layers_dispersion(spark: SparkSession, d: str) -> DataFrame:
 @query
 def map_layers_terciles(spark: SparkSession, d: str) -> DataFrame:
     """Outstanding tercile inside the zones, D where it is dry (cube)."""
-    p = _zoned(probs(spark, d).join(limits(spark, d).select(*fc.CELL, "dry_mask"), fc.CELL), spark, d)
+    p = _zoned(probs_and_limits(spark, d), spark, d)
     c = F.when(F.col("dry_mask"), "D").otherwise(fc.summary_class(F.col("prob_BN"), F.col("prob_NN"), F.col("prob_AN")))
     return p.select(*fc.CELL, F.when(F.col("in_zone"), c).alias("class"))
 
@@ -537,7 +565,7 @@ def multimodel_tercile_panel(spark: SparkSession, d: str) -> DataFrame:
 @query
 def reliability_diagram(spark: SparkSession, d: str) -> DataFrame:
     """Points of the reliability curves: the bins that hold forecasts, with their share of all (cube)."""
-    zone = read(spark, d, "grid").filter("in_zone").select("cell_id")
+    zone = cube_zone(spark, d).filter("in_zone").select("cell_id")
     bins = vf.reliability(verification(spark, d).join(zone, "cell_id", "left_semi"), ["period_id"]).filter("n > 0")
     whole = bins.groupBy("period_id", "category").agg(F.sum("n").alias("all"))
     return bins.join(whole, ["period_id", "category"]).select("period_id", "category", "bin", "n", *r6("mean_fcst", "obs_freq"), F.round(F.col("n") / F.col("all"), 6).alias("share"))

@@ -6,7 +6,7 @@ import math
 
 import pytest
 
-from rainloom.operators import drift, forecast as fc, regular, spatial, spikes, unify, verify as vf
+from rainloom.operators import drift, forecast as fc, rawlines, regular, spatial, spikes, unify, verify as vf
 from rainloom.sources import stations
 
 T0 = dt.datetime(2024, 1, 1)
@@ -140,11 +140,11 @@ def test_staged_tables_need_a_shared_folder_and_can_be_removed(spark):
     assert set(os.listdir(folder)) == before
 
 
-@pytest.mark.parametrize("name", ["station_cpt", "bilinear_regrid", "map_layers_anomaly", "p6_found"])
+@pytest.mark.parametrize("name", ["station_cpt", "bilinear_regrid", "map_layers_anomaly", "p1_found", "p5_found", "p6_found", "run_scores", "run_multimodel"])
 def test_registered_queries_on_empty_tables(spark, tmp_path, name):
     import __spark_entry__ as entry
 
-    for t in ("station_obs", "stations", "obs_daily", "grid", "lineitem", "supplier", "station_catalog"):
+    for t in ("station_obs", "stations", "obs_daily", "grid", "lineitem", "supplier", "station_catalog", "file_attrs", "zone_edges", "fcst_daily", "sites"):
         spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))
     assert entry.queries()[name](spark, str(tmp_path)).count() == 0
 
@@ -198,3 +198,44 @@ def test_a_crowded_cell_is_parted_again_and_loses_no_pair(spark, monkeypatch):
             close = other[(other > i) & (sphere.distance_km(lon[i], lat[i], lon[other], lat[other]) <= 0.5)]
             want |= {(i, int(j)) for j in close}
     assert got == want
+
+
+def test_offsets_of_all_failures(spark):
+    raw = ["ID;A;B", "LON;1;2", "LAT;1;2", "DAILY/ELEV;1;2", "20240101;1;2;3", "20240101;1", "﻿20240230;1;2", "20240101; 1;abc", '20240101;"1"x;2', '20240101;1;"2', "20240101;0;2"]
+    lines = spark.createDataFrame([(i, "f", i, r) for i, r in enumerate(raw, 1)], "line_id long, file_name string, line_no int, raw string")
+    out = {r.line_id: (r.status, r["at"]) for r in rawlines.parse_lines(lines).collect()}
+    assert [out[i] for i in range(5, 12)] == [("columns", 13), ("columns", 10), ("time", 1), ("prcp", 11), ("quoting", 12), ("quoting", 11), ("ok", -1)]
+
+
+def test_the_runs_on_hand_made_rows(spark):
+    from rainloom.plans import runs
+
+    def rows(file_id, kind, year, daily, n):
+        start = dt.datetime(year, 6, 1)
+        return [(1000 * file_id + 100 * n + i, file_id, "a", kind, n, start, 24 * i, start + dt.timedelta(days=i), 1, 10.0 * daily * i, None, start) for i in range(1, 41)]
+
+    made = [r for f, (kind, year, daily) in enumerate([("hindcast", 2000, 1.0), ("hindcast", 2001, 2.0), ("hindcast", 2002, 3.0), ("forecast", 2020, 4.0)], 1) for n in range(2) for r in rows(f, kind, year, daily + n / 10, n)]
+    attrs = spark.createDataFrame([(f, "x", "tp", "tenths of mm", None, None) for f in range(1, 5)], ATTRS)
+    daily = runs.daily_amounts(spark.createDataFrame(made, FCST), attrs)
+    assert {r.tp_daily for r in daily.filter("file_id = 1 and number = 0").select(fc.F.round("tp_daily", 6).alias("tp_daily")).collect()} == {1.0}
+    regions = spark.createDataFrame([(1, "Z")], "cell_id int, region string")
+    over = runs.over_regions(daily, regions)
+    acc = runs.accumulated(over, runs.run_periods(over))
+    sums = {(r.year, r.number, r.period_id): round(r.acc_mm, 6) for r in acc.collect()}
+    assert sums[2000, 0, "month-6-602-630"] == 29.0 and sums[2020, 1, "decade-6-611-620"] == 41.0 and len({k[2] for k in sums}) == 5
+    product = {r.period_id: r for r in runs.forecast_run(acc).collect()}["decade-6-611-620"]
+    assert (product.model, product.cell_id, product.year, product.prob_AN) == ("a", "Z", 2020, 1.0) and product.ens_mean_anomaly == pytest.approx(20.0)
+    multi = {r.period_id: r for r in runs.multimodel_run(runs.forecast_run(acc)).collect()}
+    assert multi["month-6-602-630"].norm_AN == 1.0 and not multi["month-6-602-630"].dry
+    observed = spark.createDataFrame([("Z", "decade-6-611-620", y, v) for y, v in ((2000, 5.0), (2001, 6.0), (2002, 7.0))], "cell_id string, period_id string, year int, acc_mm double")
+    pairs, scores = runs.verification_run(acc, observed)
+    assert {r.year: r.obs_cat for r in pairs.collect()} == {2000: 0, 2001: 1, 2002: 2} and scores.first().corr_ens == pytest.approx(1.0)
+    assert runs.forecast_run(acc.limit(0)).count() == 0
+
+
+def test_the_outline_of_zones_that_share_an_edge(spark):
+    from rainloom.plans import runs
+
+    square = lambda x: [(x, 0.0, x + 1, 0.0), (x + 1, 0.0, x + 1, 1.0), (x + 1, 1.0, x, 1.0), (x, 1.0, x, 0.0)]
+    edges = spark.createDataFrame([*square(0.0), *square(1.0), (None, 0.0, 1.0, 1.0)], "x1 double, y1 double, x2 double, y2 double")
+    assert runs.dissolved(edges).count() == 6
