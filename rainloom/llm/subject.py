@@ -23,9 +23,13 @@ from rainloom.sources.tables import staged
 
 #: The classifier learns from at most so many labelled documents, the first by a hash of their ids.
 MAX_LABELLED = 20_000
-#: Terms kept, so that the term-by-term matrix (V x V doubles, at most 34 MB) has a fixed bound.
-MAX_TERMS = 2048
+#: A term tells of a subject that has more than this share of it, each subject counted alike.
+LEAST_SHARE = 0.5
 DIMENSIONS, REFINEMENTS = 96, 2
+#: Dimensions beyond those kept, and passes before the last one, of the subspace iteration.
+SPARE_DIMENSIONS, PASSES = 16, 2
+#: Documents whose paragraphs are embedded at once.
+SLICE = 500
 LEAST_COSINE, MENTIONS, PARAGRAPHS = 0.1, 2, 2
 _WORD = re.compile(r"[a-z]{3,}")
 _MARK = re.compile(r"\s*(?:\[\d{1,4}\]|\d{1,3}[.)](?=\s|$)|§\s*\d+)")
@@ -99,7 +103,7 @@ def term_counts(docs: DataFrame, labels: dict[int, list[int]], subjects: int) ->
 
 
 def vocabulary(counts: DataFrame, documents: int, class_sizes: list[int]) -> list[tuple[str, float]]:
-    """The MAX_TERMS terms that tell most about the subjects, with their weights."""
+    """The terms that tell of a subject, with their weights; each stands in two labelled documents at least, so MAX_LABELLED bounds their number."""
     n = len(class_sizes)
     rates = [F.col("by")[i] / max(1, c) for i, c in enumerate(class_sizes)]
     total = sum(rates[1:], rates[0])
@@ -110,10 +114,7 @@ def vocabulary(counts: DataFrame, documents: int, class_sizes: list[int]) -> lis
         .withColumns({"seen": seen, "total": total})
         .filter("seen >= 2 and total > 0")
         .withColumn("share", share)
-        .withColumn("strength", (F.col("share") - 1.0 / n) * F.sqrt("seen"))
-        .filter(F.col("share") > 0.5)
-        .orderBy(F.desc("strength"), "term")
-        .limit(MAX_TERMS)
+        .filter(F.col("share") > LEAST_SHARE)
         .select("term", "df", "share")
         .collect()
     )
@@ -122,7 +123,7 @@ def vocabulary(counts: DataFrame, documents: int, class_sizes: list[int]) -> lis
 
 def encode_paragraphs(docs: DataFrame, terms: list[str]) -> DataFrame:
     """(doc_id, ids): the numbers of the known terms of each text in their order, -1 between paragraphs."""
-    shared = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})  # at most MAX_TERMS
+    shared = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})  # terms of the labelled documents
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -149,32 +150,58 @@ def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row[real], paragraph[real], ids[real]
 
 
-def co_occurrence(encoded: DataFrame, size: int) -> np.ndarray:
-    """How often two terms stand in one paragraph, summed over all documents; at most MAX_TERMS squared numbers."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """`_flat` of SLICE documents at a time, with their rows; slices without a known term are left out."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, SLICE):
+            part = batch.slice(i, SLICE)
+            row, paragraph, term = _flat(part)
+            if len(term):
+                yield part, row, paragraph, term
+
+
+def _by_term(term: np.ndarray, values: np.ndarray, out: np.ndarray) -> None:
+    """Adds the rows of `values` to the rows `term` of `out`."""
+    order = np.argsort(term, kind="stable")
+    first = np.flatnonzero(np.diff(term[order], prepend=-1))
+    out[term[order][first]] += np.add.reduceat(values[order], first, axis=0)
+
+
+def multiplied(encoded: DataFrame, weight: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """A'A q of the weighted paragraph-by-term matrix A over all documents, whatever their number; one row per term leaves each task."""
+    shared = encoded.sparkSession.sparkContext.broadcast((weight, q * weight[:, None]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in batches:
-            _, paragraph, term = _flat(batch)
-            pair = np.unique(paragraph.astype(np.int64) * size + term)
-            paragraph, term = pair // size, pair % size
-            codes = [term * size + term]
-            step = 1
-            while step < len(term):  # terms of a paragraph lie side by side
-                same = paragraph[step:] == paragraph[:-step]
-                if not same.any():
-                    break
-                codes.append(term[:-step][same] * size + term[step:][same])
-                step += 1
-            code, count = np.unique(np.concatenate(codes), return_counts=True)
-            joint, back = np.unique(np.concatenate([total[0], code]), return_inverse=True)
-            total = joint, np.bincount(back, weights=np.concatenate([total[1], count]), minlength=len(joint)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(total[0]), pa.array(total[1])], ["pair", "n"])
-
-    g = np.zeros((size, size))
-    for pair, n in encoded.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n")).toLocalIterator():
-        g[pair // size, pair % size] = g[pair % size, pair // size] = n
-    return g
+        weights, scaled = shared.value
+        total = np.zeros(scaled.shape)
+        for _, _, paragraph, term in _slices(batches):
+            pair = np.unique(paragraph.astype(np.int64) * len(weights) + term)
+            paragraph, term = pair // len(weights), pair % len(weights)
+            first = np.flatnonzero(np.diff(paragraph, prepend=-1))
+            sums = np.add.reduceat(scaled[term], first, axis=0)
+            _by_term(term, np.repeat(sums, np.diff(np.append(first, len(term))), axis=0), total)
+        total *= weights[:, None]
+        used = np.flatnonzero(np.abs(total).sum(axis=1))
+        for i in range(0, len(used), 1000):
+            at = used[i : i + 1000]
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at].tolist(), pa.list_(pa.float64()))], ["term", "v"])
+
+    sums = encoded.mapInArrow(run, "term long, v array<double>").groupBy("term").agg(F.array(*[F.sum(F.col("v")[i]) for i in range(q.shape[1])]).alias("v"))
+    out = np.zeros(q.shape)
+    for r in sums.collect():  # one row per term
+        out[r[0]] = r[1]
+    return out
+
+
+def truncated_basis(encoded: DataFrame, weight: np.ndarray) -> np.ndarray:
+    """The first right singular vectors of the weighted paragraph-by-term matrix, by subspace iteration over all documents."""
+    size = len(weight)
+    q = np.linalg.qr(np.random.default_rng(0).standard_normal((size, min(size, DIMENSIONS + SPARE_DIMENSIONS))))[0]
+    for _ in range(PASSES):
+        q = np.linalg.qr(multiplied(encoded, weight, q))[0]
+    small = q.T @ multiplied(encoded, weight, q)
+    values, vectors = np.linalg.eigh((small + small.T) / 2)
+    return q @ vectors[:, np.argsort(-values)[: min(DIMENSIONS, size)]]
 
 
 class Space:
@@ -211,12 +238,11 @@ def _sums(encoded: DataFrame, space: Space, k: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((k, space.basis.shape[1]))
-        for batch in batches:
-            _, paragraph, term = _flat(batch)
-            if len(term):
-                used, paragraph = np.unique(paragraph, return_inverse=True)
-                subject, x = shared.value.devoted(paragraph, term, len(used))
-                np.add.at(total, subject[subject >= 0], x[subject >= 0])
+        for _, _, paragraph, term in _slices(batches):
+            used, paragraph = np.unique(paragraph, return_inverse=True)
+            subject, x = shared.value.devoted(paragraph, term, len(used))
+            if (subject >= 0).any():
+                _by_term(subject[subject >= 0], x[subject >= 0], total)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(k)), pa.array(total.tolist(), pa.list_(pa.float64()))], ["subject", "v"])
 
     dims = range(space.basis.shape[1])
@@ -246,8 +272,7 @@ def subjects_of(docs: DataFrame, subjects: DataFrame, labels: DataFrame) -> Data
         return spark.createDataFrame([], "doc_id long, subject string")
     weight = np.array([w for _, w in terms])
     encoded = staged(encode_paragraphs(docs, [t for t, _ in terms]))
-    values, vectors = np.linalg.eigh(co_occurrence(encoded, len(terms)) * np.outer(weight, weight))
-    basis = vectors[:, np.argsort(-values)[: min(DIMENSIONS, len(terms))]]
+    basis = truncated_basis(encoded, weight)
     space = Space(weight, basis, np.zeros((len(names), basis.shape[1])))
     place = {t: i for i, (t, _) in enumerate(terms)}
     seeds = np.zeros((len(names), basis.shape[1]))
@@ -270,14 +295,12 @@ def subjects_of(docs: DataFrame, subjects: DataFrame, labels: DataFrame) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, called = shared.value
-        for batch in batches:
-            row, paragraph, term = _flat(batch)
-            ids, out = batch.column("doc_id").to_pylist(), []
-            if len(term):
-                used, first, paragraph = np.unique(paragraph, return_index=True, return_inverse=True)
-                subject, _ = model.devoted(paragraph, term, len(used))
-                pair, n = np.unique(np.stack([row[first], subject])[:, subject >= 0], axis=1, return_counts=True)
-                out = [(ids[d], called[s]) for (d, s), c in zip(pair.T.tolist(), n) if c >= PARAGRAPHS]
+        for part, row, paragraph, term in _slices(batches):
+            ids = part.column("doc_id").to_pylist()
+            used, first, paragraph = np.unique(paragraph, return_index=True, return_inverse=True)
+            subject, _ = model.devoted(paragraph, term, len(used))
+            pair, n = np.unique(np.stack([row[first], subject])[:, subject >= 0], axis=1, return_counts=True)
+            out = [(ids[d], called[s]) for (d, s), c in zip(pair.T.tolist(), n) if c >= PARAGRAPHS]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.string())], ["doc_id", "subject"])
 
     return encoded.mapInArrow(run, "doc_id long, subject string")
