@@ -27,8 +27,8 @@ GRAM, LEAST_GRAM = 16, 8
 INSERTION = 160
 #: Letters of successive words that may go on behind an insertion; fewer are found by chance.
 LEAST_LETTERS = 4
-#: Passages held in memory at once; more are taken in blocks.
-BLOCK_ITEMS = 20_000
+#: Characters of the passages that a task holds at once (about 30 bytes each with their windows); more are taken in blocks.
+BLOCK_CHARACTERS = 4_000_000
 _BASE = np.array([0x9E3779B97F4A7C15], np.uint64)
 _BITS = 24
 SEPARATOR = "\ue000"
@@ -63,6 +63,37 @@ def stream(text: str) -> np.ndarray:
     return points[_kept()[points]]
 
 
+def places(text: str) -> list[int]:
+    """The offset in `text` of each letter of `stream(text)`, and its length at the end; letters of mended characters have that of the first of them."""
+    out: list[int] = []
+    at, kept = 0, _kept()
+
+    def take(part: str, offset: int, wide: bool) -> None:
+        for i, c in enumerate(part):
+            for x in unicodedata.normalize("NFKD", c).lower() if not c.isascii() else c.lower():
+                if kept[ord(x)]:
+                    out.append(offset if wide else offset + i)
+
+    for m in _BROKEN.finditer(text):
+        take(text[at : m.start()], at, False)
+        take(_mend(m), m.start(), True)
+        at = m.end()
+    take(text[at:], at, False)
+    return [*out, len(text)]
+
+
+def spans_in_text(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of the stream as spans of `text`, in order and joined where they meet."""
+    at, out = places(text), []
+    for a, b in sorted(spans):
+        begin, end = at[a], at[b - 1] + 1 if b > a else at[a]
+        if out and begin <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], end)
+        else:
+            out.append((begin, end))
+    return out
+
+
 def gram_hashes(points: np.ndarray, gram: int) -> np.ndarray:
     """A hash of each window of `gram` characters."""
     if len(points) < gram:
@@ -98,16 +129,16 @@ class Chain:
         #: The fewest words from each one on that have LEAST_LETTERS.
         self.seeds = ["".join(words[i : next((e for e in range(i + 1, len(words)) if self.starts[e] - self.starts[i] >= LEAST_LETTERS), len(words))]) for i in range(len(words))]
 
-    def reach(self, text: str, first: int, position: int) -> Callable[[int], tuple[int, tuple[tuple[int, int], ...]]]:
-        """A function of the words that may be lost, giving the most words from `first` on that stand in `text` from `position` on, and their ranges.
+    def reach(self, text: str, first: int, position: int) -> Callable[[int], tuple[int, tuple[tuple[int, int, int, int], ...]]]:
+        """A function of the words that may be lost, giving the most words from `first` on that stand in `text` from `position` on, and their ranges (first word, last, first letter, last).
 
         Words follow each other letter by letter; where they don't, up to the given number is lost and the next are looked for
         at all places within 2 * INSERTION. Words beyond a break count up to STRETCH from the first one.
         """
         words, starts, n = self.words, self.starts, len(self.words)
-        known: dict[tuple[int, int, int], tuple[int, tuple[tuple[int, int], ...]]] = {}
+        known: dict[tuple[int, int, int], tuple[int, tuple[tuple[int, int, int, int], ...]]] = {}
 
-        def onwards(i: int, q: int, spared: int) -> tuple[int, tuple[tuple[int, int], ...]]:
+        def onwards(i: int, q: int, spared: int) -> tuple[int, tuple[tuple[int, int, int, int], ...]]:
             if (i, q, spared) in known:
                 return known[i, q, spared]
             b, at = i, q
@@ -124,7 +155,7 @@ class Chain:
                     m, r = onwards(c, place, spared - lost)
                     if m > best:
                         best, ranges = m, r
-            known[i, q, spared] = out = (b - i + best, ((i, b), *ranges) if b > i else ranges)
+            known[i, q, spared] = out = (b - i + best, ((i, b, q, at), *ranges) if b > i else ranges)
             return out
 
         return lambda spared: onwards(first, position, spared)
@@ -187,12 +218,12 @@ class Passages:
         index = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.bounds[k] - (ends - size), size)
         return np.repeat(at, size), self.owner[index], self.place[index]
 
-    def matched_words(self, k: int, text: str, mirrored: str, anchors: list[tuple[int, int]]) -> np.ndarray:
-        """Which words of passage `k` belong to a stretch of STRETCH with at most SPARED lost that stands in `text` around an anchor.
+    def matched(self, k: int, text: str, mirrored: str, anchors: list[tuple[int, int]]) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """Which words of passage `k` belong to a stretch of STRETCH with at most SPARED lost that stands in `text` around an anchor, and from where to where the stretches run.
 
         An anchor is a (word, position) where a hit lies; from each, words are matched onwards and, in `mirrored` (`text` read from its end), backwards.
         """
-        ok = np.zeros(len(self.words[k]), bool)
+        ok, spans = np.zeros(len(self.words[k]), bool), []
         n, size = len(ok), len(text)
         ahead, behind = self.chains(k)
         for a, q in anchors:
@@ -202,11 +233,12 @@ class Passages:
             for spared in range(SPARED + 1):
                 (m, x), (l, y) = right(spared), left(SPARED - spared)
                 if m + l >= STRETCH - SPARED:
-                    for i, j in x:
+                    for i, j, _, _ in x:
                         ok[i:j] = True
-                    for i, j in y:
+                    for i, j, _, _ in y:
                         ok[n - j : n - i] = True
-        return ok
+                    spans.append((size - y[-1][3] if y else q, x[-1][3] if x else q))
+        return ok, spans
 
     def chains(self, k: int) -> tuple[Chain, Chain]:
         """Passage `k` read onwards and from its end."""
@@ -216,6 +248,10 @@ class Passages:
 
     def find(self, texts: list[str | None]) -> Iterator[tuple[int, int, int]]:
         """(number of the text, item id, matched words) of each leak."""
+        return ((d, item, n) for d, item, n, _ in self.find_spans(texts))
+
+    def find_spans(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, list[tuple[int, int]]]]:
+        """(number of the text, item id, matched words, spans in its stream) of each leak."""
         joined = stream(SEPARATOR.join((t or "").replace(SEPARATOR, " ") for t in texts))
         breaks = np.flatnonzero(joined == ord(SEPARATOR))
         position, passage, place = self.hits(gram_hashes(joined, self.gram))
@@ -246,37 +282,89 @@ class Passages:
             p, q, starts = place[first[runs]], position[first[runs]] - start, self.starts[k]
             a, b = np.searchsorted(starts, p), np.searchsorted(starts, p + length[runs], side="right") - 1
             whole = a < b  # runs without a whole word lie beside no intact stretch
-            ok = self.matched_words(k, text, mirrored, list(zip(a[whole].tolist(), (q + starts[a] - p)[whole].tolist())))
+            ok, spans = self.matched(k, text, mirrored, list(zip(a[whole].tolist(), (q + starts[a] - p)[whole].tolist())))
             if ok.any():
-                yield d, self.ids[k], int(ok.sum())
+                yield d, self.ids[k], int(ok.sum()), spans
 
 
-def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, words): the documents that hold a passage, with the number of its words found.
+def _blocks(items: DataFrame) -> list:
+    """Broadcast passages, in blocks of about BLOCK_CHARACTERS by a hash of their ids."""
+    spark = items.sparkSession
+    clean = items.filter("passage is not null and item_id is not null").select("item_id", "passage")
+    blocks = max(1, -(-(clean.agg(F.sum(F.length("passage"))).first()[0] or 0) // BLOCK_CHARACTERS))
+    parts = (clean.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b) for b in range(blocks))
+    return [spark.sparkContext.broadcast(Passages([(r[0], r[1]) for r in part.collect()])) for part in parts]
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for i in range(0, batch.num_rows, 500):
+        yield batch.slice(i, 500)
+
+
+def leaked_spans(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, item_id, words, spans): the documents that hold a passage, with the number of its words found and the stretches of `text` that hold them, as (begin, end).
 
     Null, empty and very short texts hold none; passages of fewer than 25 words can't leak. One row per pair, rows of repeated documents each their own.
     """
-    spark = docs.sparkSession
-    clean = items.filter("passage is not null and item_id is not null").select("item_id", "passage")
-    blocks = -(-clean.count() // BLOCK_ITEMS)
+    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("words", pa.int32()), ("spans", pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())])))])
     out = None
-    for b in range(max(1, blocks)):
-        block = clean.filter(F.pmod(F.xxhash64("item_id"), F.lit(max(1, blocks))) == b)
-        shared = spark.sparkContext.broadcast(Passages([(r[0], r[1]) for r in block.collect()]))
+    for shared in _blocks(items):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             for batch in batches:
-                for i in range(0, batch.num_rows, 500):
-                    part = batch.slice(i, 500)
-                    ids = part.column("doc_id").to_pylist()
-                    rows = [(ids[d], item, n) for d, item, n in shared.value.find(part.column("text").to_pylist())]
-                    yield pa.RecordBatch.from_pydict({"doc_id": [r[0] for r in rows], "item_id": [r[1] for r in rows], "words": [r[2] for r in rows]}, schema=pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("words", pa.int32())]))
+                for part in _parts(batch):
+                    ids, texts = part.column("doc_id").to_pylist(), part.column("text").to_pylist()
+                    rows = [{"doc_id": ids[d], "item_id": item, "words": n, "spans": [{"begin": a, "end": b} for a, b in spans_in_text(texts[d], spans)]} for d, item, n, spans in shared.value.find_spans(texts)]
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-        found = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, item_id long, words int")
+        found = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, item_id long, words int, spans array<struct<begin:int,end:int>>")
         out = found if out is None else out.unionByName(found)
     return out
 
 
+def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, item_id, words) of `leaked_spans`."""
+    return leaked_spans(docs, items).select("doc_id", "item_id", "words")
+
+
+def _each_block(docs: DataFrame, items: DataFrame, change: Callable[[pa.RecordBatch, list[tuple[int, int, int, list[tuple[int, int]]]]], pa.RecordBatch]) -> DataFrame:
+    """`docs` after `change` has been applied with the leaks of each block in turn; the texts pass once and aren't shuffled."""
+    out = docs
+    for shared in _blocks(items):
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            for batch in batches:
+                for part in _parts(batch):
+                    yield change(part, list(shared.value.find_spans(part.column("text").to_pylist())))
+
+        out = out.mapInArrow(run, docs.schema)
+    return out
+
+
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no passage."""
-    return docs.join(leaks(docs, items).select("doc_id").distinct(), "doc_id", "left_anti")
+
+    def change(part: pa.RecordBatch, found: list) -> pa.RecordBatch:
+        keep = np.ones(part.num_rows, bool)
+        keep[[d for d, *_ in found]] = False
+        return part.filter(pa.array(keep))
+
+    return _each_block(docs, items, change)
+
+
+def without_spans(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """All documents, without the stretches of their text that hold passages; a blank stands in the place of each. Other texts stay as they are."""
+
+    def change(part: pa.RecordBatch, found: list) -> pa.RecordBatch:
+        if not found:
+            return part
+        texts, spans = part.column("text").to_pylist(), {}
+        for d, _, _, s in found:
+            spans.setdefault(d, []).extend(s)
+        for d, s in spans.items():
+            for a, b in reversed(spans_in_text(texts[d], s)):
+                texts[d] = texts[d][:a] + " " + texts[d][b:]
+        at = part.schema.get_field_index("text")
+        return part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))
+
+    return _each_block(docs, items, change)

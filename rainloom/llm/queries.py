@@ -28,11 +28,22 @@ def p8_kept(spark: SparkSession, d: str) -> DataFrame:
     return leak.without_leaks(read(spark, d, "documents"), read(spark, d, "test_items")).select("doc_id", F.length("text").cast("long").alias("chars"))
 
 
+def p8_spans(spark: SparkSession, d: str) -> DataFrame:
+    """The stretches of text that hold passages."""
+    spans = leak.leaked_spans(read(spark, d, "documents"), read(spark, d, "test_items"))
+    return spans.select("doc_id", "item_id", F.inline("spans"))
+
+
+def p8_cleaned(spark: SparkSession, d: str) -> DataFrame:
+    """All documents without those stretches."""
+    return leak.without_spans(read(spark, d, "documents"), read(spark, d, "test_items")).select("doc_id", F.length("text").cast("long").alias("chars"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return subject.subjects_of(read(spark, d, "documents"), read(spark, d, "subjects"), read(spark, d, "doc_labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p7_ids, p7_decoded, p8_found, p8_kept, p9_found)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p7_ids, p7_decoded, p8_found, p8_kept, p8_spans, p8_cleaned, p9_found)}
 
 ORACLE: dict[str, str] = {
     "p7_decoded": "select doc_id, coalesce(text, '') as text from documents",

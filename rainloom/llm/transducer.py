@@ -3,12 +3,14 @@
 A state is the last token of the encoding of the bytes read so far. A token may follow another only if the two stand side by
 side in the encoding of their joint bytes; this relation is worked out the first time a pair is met and kept (lazy
 determinisation), as are the outputs of whole pieces. No token is longer than the longest entry of the vocabulary, so the
-state after a byte depends on a bounded number of states before it.
+state after a byte depends on a bounded number of states before it, and a token is emitted once all states within that
+reach go back to it.
 """
 
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -53,23 +55,54 @@ class Transducer:
             self.whole[a] = self.merged(self.token[a]) == [a]
         return self.whole[a]
 
-    def encode(self, piece: bytes) -> tuple[int, ...]:
-        """The ids of one piece."""
-        if (out := self.known.get(piece)) is not None:
-            return out
-        n, state, start = len(piece), [-1] * (len(piece) + 1), [0] * (len(piece) + 1)
-        for end in range(1, n + 1):
+    def emitted(self, piece: Iterable[int]) -> Iterator[int]:
+        """The ids of the bytes of one piece, each given as soon as no later byte can change it.
+
+        Any later token begins within the last `longest` positions, so what all states there have in common is settled. Only
+        the positions since then are held, however long the piece is.
+        """
+        base, end, tail = 0, 0, bytearray()  # `tail` are the bytes from `base` on
+        state, start = {0: -1}, {}
+        for byte in piece:
+            tail.append(byte)
+            end += 1
             for begin in range(max(0, end - self.longest), end):
-                t = self.ranks.get(piece[begin:end])
-                if t is not None and (self.stands_alone(t) if begin == 0 else state[begin] >= 0 and self.stands_alone(t) and self.may_follow(state[begin], t)):
+                before = state.get(begin)
+                if before is None:
+                    continue
+                t = self.ranks.get(bytes(tail[begin - base : end - base]))
+                if t is not None and self.stands_alone(t) and (begin == 0 or self.may_follow(before, t)):
                     state[end], start[end] = t, begin
                     break
-        ids, end = [], n
-        while end:
+            if end - base >= 4 * self.longest and end % self.longest == 0:
+                live = [p for p in range(end + 1 - self.longest, end + 1) if p in state]
+                while len(live) > 1:  # walk the later states back until one is left
+                    last = max(live)
+                    live = list({start[last] if p == last else p for p in live})
+                    if min(live) == base:
+                        break
+                if len(live) == 1 and live[0] > base:
+                    yield from self._between(state, start, base, live[0])
+                    del tail[: live[0] - base]
+                    base = live[0]
+                    state = {p: t for p, t in state.items() if p >= base}
+                    start = {p: b for p, b in start.items() if p > base}
+        yield from self._between(state, start, base, end)
+
+    @staticmethod
+    def _between(state: dict[int, int], start: dict[int, int], base: int, end: int) -> list[int]:
+        ids = []
+        while end > base:
             ids.append(state[end])
             end = start[end]
-        out = tuple(reversed(ids))
-        if n <= 64 and len(self.known) < 1 << 20:
+        return ids[::-1]
+
+    def encode(self, piece: bytes) -> tuple[int, ...]:
+        """The ids of one piece; those of pieces up to 64 bytes are kept."""
+        if (out := self.known.get(piece)) is not None:
+            return out
+        out = tuple(self.emitted(piece))
+        if len(piece) <= 64 and len(self.known) < 1 << 20:
             self.known[piece] = out
         return out
 

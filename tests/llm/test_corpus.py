@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from rainloom.llm import encode, leak, subject
-from rainloom.llm.transducer import Utf8Stream
+from rainloom.llm.transducer import Transducer, Utf8Stream, parse_ranks
 
 VOCABULARY = f"{encode.FOLDER}/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -138,3 +138,51 @@ def test_paragraphs():
     assert subject.paragraphs(text) == ["Head", "[1] One two. three.", "[2] Four.", "[3] Five."]
     assert subject.paragraphs("A one.\n\nB two.\n\nC three\n\nand on.\n\nD.") == ["A one.", "B two.", "C three and on.", "D."]
     assert subject.paragraphs("A one.\nB two\nand on.\nC.") == ["A one.", "B two and on.", "C."] and subject.paragraphs(None) == []
+
+
+def test_leaked_spans_are_cut_out_and_the_rest_stays(spark):
+    words = [f"word{chr(97 + i % 26)}{i}" for i in range(60)]
+    passage = " ".join(words)
+    before, after = "Préambule — the court “sat” at noon. ", " Ends here; costs follow."
+    leaked = passage.replace("wordb1 ", "wordb1\n*** PAGE 12 ***\n").upper()
+    items = spark.createDataFrame([(1, passage), (2, "short one")], "item_id long, passage string")
+    rows = [(1, before + leaked + after), (2, before + after), (3, None), (4, ""), (5, passage[:60]), (6, leaked + " " + passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: [(s.begin, s.end) for s in r.spans] for r in leak.leaked_spans(docs, items).collect()}
+    assert set(spans) == {1, 6} and spans[1][0] == (len(before), len(before) + len(leaked))
+    cleaned = {r.doc_id: r.text for r in leak.without_spans(docs, items).collect()}
+    assert cleaned == {1: before + " " + after, 2: before + after, 3: None, 4: "", 5: passage[:60], 6: cleaned[6]} and "WORD" not in cleaned[6].upper()
+    assert {r.doc_id for r in leak.without_leaks(docs, items).collect()} == {2, 3, 4, 5}
+
+
+def test_blocks_of_passages_give_what_one_block_gives(spark, monkeypatch):
+    passages = [(i, " ".join(f"p{i}w{j}x{(i * 7 + j * 13) % 97}" for j in range(30))) for i in range(9)]
+    items = spark.createDataFrame(passages, "item_id long, passage string")
+    docs = spark.createDataFrame([(i, "so " + p + " it is") for i, p in passages] + [(99, "nothing")], "doc_id long, text string")
+    whole = sorted(map(tuple, leak.leaks(docs, items).collect()))
+    monkeypatch.setattr(leak, "BLOCK_CHARACTERS", 500)
+    assert sorted(map(tuple, leak.leaks(docs, items).collect())) == whole and len(whole) == 9
+    assert [r.doc_id for r in leak.without_leaks(docs, items).collect()] == [99]
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "a", "=-", "éà日本", "the cat "])
+def test_ids_are_emitted_before_a_long_piece_ends(alphabet):
+    import random
+
+    random.seed(5)
+    piece = "".join(random.choice(alphabet) for _ in range(3000)).encode()
+    machine = Transducer(parse_ranks(open(f"{encode.FOLDER}/byte_bpe_50k.tiktoken", "rb").read()))
+    read = 0
+
+    def bytes_of():
+        nonlocal read
+        for b in piece:
+            read += 1
+            yield b
+
+    first, *rest = machine.emitted(bytes_of())
+    ids = [first, *rest]
+    assert b"".join(machine.token[i] for i in ids) == piece and tuple(ids) == machine.encode(piece)
+    read = 0
+    next(machine.emitted(bytes_of()))
+    assert read < len(piece)
