@@ -1,13 +1,16 @@
 """Fixed values of the domain; they must equal those in use elsewhere for the same results."""
 
+# Fixed values. Area, years and limits of the products.
 AREA = (4, 36, -21, 25)  # west, east, south, north
 HINDCAST_YEARS = tuple(range(1993, 2017))
 MAX_END_DATE = "2026-11-30"
 DRY_MM = 1.0
 EXCEEDANCE_MM = (5, 10, 20, 50, 100, 200, 300, 400, 500, 600)
+# Fixed values. Leads asked for.
 LEAD_HOURS = tuple(range(24, 5184, 24))
 SEASON_MONTHS = 3
 
+# Fixed values. Display names of models.
 MODEL_NAMES = {
     "bom": "BoM ACCESS-S2",
     "cmcc": "CMCC SPS3.5",
@@ -18,7 +21,9 @@ MODEL_NAMES = {
     "ncep": "NCEP CFSv2",
     "ukmo": "UKMO GloSea6",
 }
+# Fixed values. System numbers by centre.
 C3S_SYSTEMS = {"ecmwf": "51", "cmcc": "4", "dwd": "22", "eccc": "5", "jma": "4", "meteo_france": "9", "ncep": "2", "ukmo": "610", "bom": "2"}
+# Fixed values. Variables as the data services name them.
 C3S_VARIABLES = {"PRCP": "total_precipitation", "TEMP": "2m_temperature"}
 ERA5_VARIABLES = {
     "SST": "sea_surface_temperature",
@@ -32,6 +37,7 @@ ERA5_VARIABLES = {
     "V": "v_component_of_wind",
     "Q": "specific_humidity",
 }
+# Fixed values. Models as the data library names them.
 NMME_MODELS = {
     "ncep_cfsv2": "NCEP-CFSv2",
     "cmc1_cancm3": "CMC1-CanCM3",
@@ -44,10 +50,12 @@ NMME_MODELS = {
     "ncar_cesm1": "NCAR-CESM1",
 }
 NMME_VARIABLES = {"PRCP": "prec", "TEMP": "tref"}
+# Fixed values. Addresses of the data library.
 IRIDL = "https://iridl.ldeo.columbia.edu/SOURCES"
 NMME_SOURCE = "/.Models/.NMME"
 CHIRPS_SOURCE = "/.UCSB/.CHIRPS/.v2p0/.monthly/.global/.precipitation"
 TAMSAT_SOURCE = "/.Reading/.Meteorology/.TAMSAT/.v3p1/.monthly/.rfe"
+# Fixed values. Contour levels by period type.
 LEVELS = {
     "decade": (-30, -20, -15, -10, 10, 15, 20, 30),
     "month": (-100, -75, -50, -25, 25, 50, 75, 100),
@@ -55,5 +63,6 @@ LEVELS = {
     "custom": (-150, -100, -75, -50, 50, 75, 100, 150),
 }
 SKILL_LEVELS = (-1.0, -0.6, -0.3, -0.1, 0.0, 0.1, 0.2, 0.3, 0.5, 0.7, 1.0)
+# Fixed values. Folders by period type, and the layers of a probability map.
 SUBFOLDERS = {"decade": "decades", "month": "months", "season": "seasons", "custom": "custom"}
 PROBABILITIES = ("prob_BN", "prob_NN", "prob_AN", "prob_low20", "prob_high20", "prob_exceed_median")

@@ -17,6 +17,26 @@ def grid_mask(grid: DataFrame, edges: DataFrame) -> DataFrame:
     return grid.select("cell_id").join(inside, "cell_id", "left").withColumn("in_zone", F.coalesce("in_zone", F.lit(False)))
 
 
+def in_box(df: DataFrame, area: tuple[float, float, float, float]) -> DataFrame:
+    """The rows within an area (west, east, south, north), its bounds included; rows without coordinates are outside."""
+    west, east, south, north = area
+    return df.filter(F.col("longitude").between(west, east) & F.col("latitude").between(south, north))
+
+
+def edges_of_shapes(shapes: DataFrame, wkt: str = "wkt") -> DataFrame:
+    """The columns of `shapes` but `wkt`, with (ring_id, edge_no, x1, y1, x2, y2): one row per edge of each ring of POLYGON and MULTIPOLYGON texts.
+
+    Rings are closed where they aren't; texts that are null or hold no ring have no edges. Coordinates are taken as degrees.
+    """
+    rest = [c for c in shapes.columns if c != wkt]
+    rings = shapes.select(*rest, F.posexplode(F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), 1)).alias("ring_id", "_ring"))
+    point = F.transform(F.split(F.trim("_ring"), r"\s*,\s*"), lambda p: F.transform(F.slice(F.split(p, r"\s+"), 1, 2), lambda v: v.try_cast("double")))
+    following = F.concat(F.slice("_p", F.lit(2), F.size("_p") - 1), F.slice("_p", 1, 1))
+    edges = rings.withColumn("_p", point).select(*rest, "ring_id", F.posexplode(F.arrays_zip(F.col("_p").alias("a"), following.alias("b"))).alias("edge_no", "_e"))
+    ends = [F.get(f"_e.{e}", F.lit(i)).alias(f"{c}{n}") for n, e in ((1, "a"), (2, "b")) for i, c in enumerate("xy")]
+    return edges.select(*rest, "ring_id", "edge_no", *ends).filter("x1 <> x2 or y1 <> y2")
+
+
 def _axis(source: DataFrame, name: str) -> list[float]:
     values = [r[0] for r in source.select(name).filter(known(F.col(name)).isNotNull()).distinct().orderBy(name).limit(MAX_AXIS + 1).collect()]
     if len(values) > MAX_AXIS:

@@ -16,13 +16,14 @@ BINS = 10
 def loo_terciles(acc: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, year, lower, upper): terciles of the values of all other years.
 
-    A group (years times members) stays one row; the values of the other years are taken from its sorted array, so nothing is joined by inequality.
+    A group (years times members) stays one row; the terciles of all its years are taken there from its sorted array, so nothing is joined.
     """
-    pooled = acc.filter(known(F.col("acc_mm")).isNotNull()).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("acc_mm", "year"))).alias("v"))
-    years = acc.select(*keys, "year").distinct()
-    other = F.transform(F.filter("v", lambda x: x["year"] != F.col("year")), lambda x: x["acc_mm"])
-    rows = years.join(pooled, keys).withColumn("o", other)
-    return rows.select(*keys, "year", quantile(F.col("o"), F.lit(1 / 3)).alias("lower"), quantile(F.col("o"), F.lit(2 / 3)).alias("upper"))
+    entry = F.struct(known(F.col("acc_mm")).alias("v"), "year")
+    pooled = acc.groupBy(*keys).agg(F.collect_list(entry).alias("all"))
+    held = pooled.select(*keys, F.array_distinct(F.col("all.year")).alias("years"), F.array_sort(F.filter("all", lambda x: x["v"].isNotNull())).alias("known"))
+    others = F.transform("years", lambda y: F.struct(y.alias("year"), F.transform(F.filter("known", lambda x: x["year"] != y), lambda x: x["v"]).alias("o")))
+    limits = F.transform(others, lambda z: F.struct(z["year"].alias("year"), quantile(z["o"], F.lit(1 / 3)).alias("lower"), quantile(z["o"], F.lit(2 / 3)).alias("upper")))
+    return held.select(*keys, F.inline(limits))
 
 
 def loo_probabilities(hindcast: DataFrame) -> DataFrame:

@@ -97,6 +97,10 @@ judged as (select line_id, c.file_name, f, case when not well then 'quoting' whe
 
 ORACLE: dict[str, str] = {
     "p2_found": f"with {_LINES} select line_id, reason from judged where reason <> 'ok'",
+    "p2_loaded": f"""with {_LINES},
+named as (select file_name, list_transform(regexp_extract_all(t, '(?:^|' || d || ')(' || b || '"(?:[^"]|"")*"' || b || '|[^"' || d || ']*)', 1), lambda x: regexp_replace(x, '^[ \\t]+|[ \\t]+$', '', 'g')) n from form where line_no = 1 qualify row_number() over (partition by file_name order by line_id) = 1),
+v as (select line_id, judged.file_name, cast(strptime(f[1], '%Y%m%d') as date) as time, unnest(n[2:]) s, unnest(f[2:]) x from judged join named using (file_name) where reason = 'ok')
+select line_id, file_name, time, case when s[1] = '"' then trim(replace(s[2:-2], '""', '"')) else s end station, case when not regexp_full_match(lower(x), 'na|nan||-(?:999|99|9999)(?:\\.0*)?') then abs(cast(ltrim(x, '+') as double)) end prcp from v""",
     "p3_found": f"""
 with {UNITS}, v as (select 'fcst_daily' tbl, 'tp' field, fcst_id row_id, tp v, unit from fcst_daily join units using (file_id) where field = 'tp' union all select 'fcst_daily', 'tp_daily', fcst_id, tp_daily, unit from fcst_daily join units using (file_id) where field = 'tp_daily'
   union all select 'obs_daily', 'precip', row_id, precip, unit from obs_mm)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rainloom import config
 from rainloom.functions import labels, requests
 from rainloom.functions.expr import decode_months, known, level_bin
+from rainloom.models import NonParametric
 from rainloom.operators import forecast as fc, periods as pd_, spatial, unify, verify as vf
 from rainloom.plans import sql
 from rainloom.sources import stations as st
@@ -223,6 +224,13 @@ def tercile_probs(spark: SparkSession, d: str) -> DataFrame:
     return probs(spark, d).select(*fc.CELL, *r6(*config.PROBABILITIES))
 
 
+@query
+def model_contract(spark: SparkSession, d: str) -> DataFrame:
+    """The probabilities by way of a fitted model (cube)."""
+    h, f = acc(spark, d)
+    return NonParametric().fit(h).transform(f).select(*fc.CELL, *r6(*config.PROBABILITIES))
+
+
 @query
 def coherence(spark: SparkSession, d: str) -> DataFrame:
     return fc.coherence(probs(spark, d)).select("model", *r6("worst"))
@@ -369,6 +377,12 @@ def bilinear_regrid(spark: SparkSession, d: str) -> DataFrame:
     return spatial.bilinear(source, targets, "station", "precip").select("station", *t6("precip"))
 
 
+@query
+def area_subset(spark: SparkSession, d: str) -> DataFrame:
+    """The sites within the area of the forecasts."""
+    return spatial.in_box(read(spark, d, "sites"), config.AREA).select("site_id", "longitude", "latitude")
+
+
 # --- stations ---------------------------------------------------------------------------------------------------------
 
 
@@ -452,7 +466,8 @@ def c3s_request(spark: SparkSession, d: str) -> DataFrame:
         F.concat_ws(",", F.array_sort(F.collect_set(F.year("init_time").cast("string")))).alias("years"), F.concat_ws(",", F.transform(F.array_sort(F.collect_set("step_h")), lambda h: h.cast("string"))).alias("leadtime_hour")
     )
     area = ",".join(str(x) for x in requests.cds_area(config.AREA))
-    return runs.select(F.col("model").alias("originating_centre"), "kind", "month", "years", "leadtime_hour", F.lit(config.C3S_VARIABLES["PRCP"]).alias("variable"), F.lit("grib").alias("data_format"), F.lit(area).alias("area"))
+    system = F.create_map(*[F.lit(x) for kv in config.C3S_SYSTEMS.items() for x in kv])[F.col("model")]
+    return runs.select(F.col("model").alias("originating_centre"), system.alias("system"), "kind", "month", F.lit("01").alias("day"), "years", "leadtime_hour", F.lit(config.C3S_VARIABLES["PRCP"]).alias("variable"), F.lit("grib").alias("data_format"), F.lit(area).alias("area"))
 
 
 @query

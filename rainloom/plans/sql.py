@@ -251,7 +251,10 @@ select file_name, station, round(longitude, 7) longitude, round(latitude, 7) lat
     "nmme_url": f"""select distinct model, init_time, kind, replace('{config.IRIDL}{config.NMME_SOURCE}/.' || model || '/.' || upper(kind) || '/.MONTHLY/.prec{box(config.AREA)}/S/(0000 ' || day(init_time) || strftime(init_time, ' %b %Y') || ')/VALUES/data.nc', ' ', '%20') url from fcst_daily""",
     "chirps_url": f"select file_id, '{config.IRIDL}{config.CHIRPS_SOURCE}{box(config.AREA)}/T/(Jan%20' || min(year(time)) || ')/(Dec%20' || max(year(time)) || ')/RANGEEDGES/data.nc' url from obs_daily group by 1",
     "tamsat_url": f"select file_id, '{config.IRIDL}{config.TAMSAT_SOURCE}{box(config.AREA)}/T/(Jan%20' || min(year(time)) || ')/(Dec%20' || max(year(time)) || ')/RANGEEDGES/data.nc' url from obs_daily group by 1",
-    "c3s_request": f"select model originating_centre, kind, lpad(cast(month(init_time) as varchar), 2, '0') as month, string_agg(distinct cast(year(init_time) as varchar), ',' order by cast(year(init_time) as varchar)) as years, array_to_string(list_transform(list_sort(list(distinct step_h)), lambda x: cast(x as varchar)), ',') leadtime_hour, 'total_precipitation' as variable, 'grib' data_format, '{_AREA}' area from fcst_daily group by 1, 2, 3",
+    "area_subset": "select site_id, longitude, latitude from sites where longitude between 4 and 36 and latitude between -21 and 25",
+    "c3s_request": f"select model originating_centre, case model "
+    + " ".join(f"when '{k}' then '{v}'" for k, v in config.C3S_SYSTEMS.items())
+    + f" end as system, '01' as day, kind, lpad(cast(month(init_time) as varchar), 2, '0') as month, string_agg(distinct cast(year(init_time) as varchar), ',' order by cast(year(init_time) as varchar)) as years, array_to_string(list_transform(list_sort(list(distinct step_h)), lambda x: cast(x as varchar)), ',') leadtime_hour, 'total_precipitation' as variable, 'grib' data_format, '{_AREA}' area from fcst_daily group by all",
     "era5_request": f"select cast(year(time) as varchar) as year, string_agg(distinct lpad(cast(month(time) as varchar), 2, '0'), ',' order by lpad(cast(month(time) as varchar), 2, '0')) as months, 'total_precipitation' as variable, '{_AREA}' area from obs_daily group by 1",
     "period_label": f"""with {_SPANS}, {_MONTHS}, p as ({_M} union all {_D} union all {_S} union all {_C}) select file_id, type, "start", "end",
 case type when 'decade' then 'Décade ' || case when day("start") <= 10 then '1' when day("start") <= 20 then '2' else '3' end || ' - ' || strftime("start", '%B %Y') || chr(10) || {_SPAN} when 'month' then strftime("start", '%B %Y') || chr(10) || {_SPAN}
@@ -280,3 +283,4 @@ select period_id, category, bin, n, round(mean_fcst, 6) mean_fcst, round(obs_fre
 s as (select station, min(longitude) longitude, min(latitude) latitude from stations where station is not null group by 1) select station, longitude, latitude, make_date(yr, 8, 1) as time, prcp from y join s using (station)""",
     "multimodel_panel": f"with {_LIGHT} select model, cell_id, period_id, round(cast(ens_mean_anomaly as double), 4) ens_mean_anomaly from light union all select 'multi_model', cell_id, period_id, round(ens_mean_anomaly, 4) from multi",
 }
+ORACLE["model_contract"] = ORACLE["tercile_probs"]

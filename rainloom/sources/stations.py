@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rainloom.functions import automaton
 from rainloom.operators.rawlines import _DELIM
+from rainloom.sources.tables import broadcast_if_small, staged
 
 MISSING_MARKS = (-999.0, -99.0, -9999.0)
 NUDGE = 1e-6
@@ -74,9 +75,17 @@ def station_rows(lines: DataFrame, fmt: str | None = None, month_day: str = "08-
 
 
 def file_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(line_id, file_name, line_no, raw) of text files; each file is read whole, as the order of its lines counts."""
-    text = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file_name"), F.posexplode(F.split("value", "\n")).alias("i", "raw"))
-    return text.select((F.col("i") + 1).cast("long").alias("line_id"), "file_name", (F.col("i") + 1).cast("int").alias("line_no"), "raw")
+    """(line_id, file_name, line_no, raw) of text files, `line_id` and `line_no` counting from 1 in each file.
+
+    Large files are read in blocks by several tasks: lines are counted per block, and the blocks of a file before each one give the number of its first line.
+    """
+    where = [F.col("_metadata.file_path").alias("file_name"), F.col("_metadata.file_block_start").alias("block")]
+    lines = staged(spark.read.option("lineSep", "\n").text(paths).select(*where, F.monotonically_increasing_id().alias("id"), F.col("value").alias("raw")))
+    blocks = lines.groupBy("file_name", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file_name").orderBy("block")) - F.col("n")
+    number = F.col("before") + F.col("id") - F.col("first") + 1
+    # one row per block
+    return lines.join(broadcast_if_small(blocks.withColumn("before", before)), ["file_name", "block"]).select(number.alias("line_id"), "file_name", number.cast("int").alias("line_no"), "raw")
 
 
 def read_station_file(spark: SparkSession, path: str, fmt: str | None = None, month_day: str = "08-01") -> DataFrame:

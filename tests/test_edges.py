@@ -239,3 +239,27 @@ def test_the_outline_of_zones_that_share_an_edge(spark):
     square = lambda x: [(x, 0.0, x + 1, 0.0), (x + 1, 0.0, x + 1, 1.0), (x + 1, 1.0, x, 1.0), (x, 1.0, x, 0.0)]
     edges = spark.createDataFrame([*square(0.0), *square(1.0), (None, 0.0, 1.0, 1.0)], "x1 double, y1 double, x2 double, y2 double")
     assert runs.dissolved(edges).count() == 6
+
+
+def test_lines_of_a_file_read_in_blocks(spark, tmp_path):
+    for name, n in (("a.csv", 3000), ("b.csv", 7)):
+        (tmp_path / name).write_text("".join(f"{name},{i},{'x' * (i % 40)}\r\n" for i in range(1, n + 1)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        out = stations.file_lines(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(out) == 3007 and all(r.raw.split(",")[1] == str(r.line_no) for r in out)
+
+
+def test_edges_of_shapes(spark):
+    rows = [("A", "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 2 1, 2 2, 1 2, 1 1))"), ("B", "MULTIPOLYGON(((5 5,6 5,6 6)),((7 7,8 7,8 8,7 7)))"), ("C", None), ("D", "POINT EMPTY")]
+    edges = spatial.edges_of_shapes(spark.createDataFrame(rows, "adm0_a3 string, wkt string"))
+    assert {(r.adm0_a3, r.ring_id): r["count"] for r in edges.groupBy("adm0_a3", "ring_id").count().collect()} == {("A", 0): 4, ("A", 1): 4, ("B", 0): 3, ("B", 1): 3}
+    from rainloom.operators import nearby
+
+    points = spark.createDataFrame([(1, 0.5, 0.5), (2, 1.5, 1.5), (3, 5.9, 5.5), (4, 7.5, 5.5)], "site_id long, longitude double, latitude double")
+    inside = nearby.zones_of(points, edges.withColumn("poly_id", fc.F.xxhash64("adm0_a3")))
+    assert {tuple(r) for r in inside.collect()} == {(1, "A"), (3, "B")}
+    box = spatial.in_box(points.unionByName(spark.createDataFrame([(5, None, 1.0)], points.schema)), (0, 2, 0, 2))
+    assert {r.site_id for r in box.collect()} == {1, 2}
