@@ -38,11 +38,12 @@ FILE = ["feed", "file_seq"]
 
 
 def _opened(level: DataFrame) -> DataFrame:
-    """`level` with each object in `leaf` replaced by one row per key."""
-    children = F.try_variant_get("leaf", "$", "map<string,variant>")
-    rest = [c for c in level.columns if c not in ("path", "leaf")]
-    rows = level.select(*rest, F.col("path").alias("_p"), F.col("leaf").alias("_l"), F.explode_outer(children).alias("_k", "_v"))
-    return rows.select(*rest, F.when(F.col("_k").isNull(), F.col("_p")).otherwise(F.concat_ws(".", "_p", "_k")).alias("path"), F.when(F.col("_k").isNull(), F.col("_l")).otherwise(F.col("_v")).alias("leaf"))
+    """`level` with each object in `leaf` replaced by one row per key; `type` is that of the leaf, so that only objects are opened."""
+    children = F.when(F.col("type").startswith("OBJECT"), F.try_variant_get("leaf", "$", "map<string,variant>"))
+    rest = [c for c in level.columns if c not in ("path", "leaf", "type")]
+    rows = level.select(*rest, *[F.col(c).alias(f"_{c}") for c in ("path", "leaf", "type")], F.explode_outer(children).alias("_k", "_v"))
+    kept = F.col("_k").isNull()
+    return rows.select(*rest, F.when(kept, F.col("_path")).otherwise(F.concat_ws(".", "_path", "_k")).alias("path"), F.when(kept, F.col("_leaf")).otherwise(F.col("_v")).alias("leaf"), F.when(kept, F.col("_type")).otherwise(F.schema_of_variant("_v")).alias("type"))
 
 
 def leaves(catalog: DataFrame) -> DataFrame:
@@ -50,9 +51,11 @@ def leaves(catalog: DataFrame) -> DataFrame:
 
     `kind` is number, string, array or boolean; of an array the first element gives the value. Payloads that are null or no JSON object have no leaves.
     """
-    doc = catalog.select("record_id", "feed", "file_seq", F.try_parse_json("payload").alias("leaf"), F.lit(None).cast("string").alias("path"))
-    top = doc.withColumn("station", F.try_variant_get("leaf", "$.station", "string"))
-    flat = _opened(_opened(_opened(top))).filter("path is not null").withColumn("type", F.schema_of_variant("leaf")).filter("type <> 'VOID' and not startswith(type, 'OBJECT')")
+    doc = catalog.select("record_id", "feed", "file_seq", F.try_parse_json("payload").alias("leaf"), F.lit(None).cast("string").alias("path"), "payload")
+    # only the outermost brackets tell that a record is an object
+    outermost = F.when(F.ltrim("payload").startswith("{"), "OBJECT").otherwise("")
+    top = doc.withColumn("type", outermost).withColumn("station", F.try_variant_get("leaf", "$.station", "string"))
+    flat = _opened(_opened(_opened(top.drop("payload")))).filter("path is not null and type <> 'VOID' and not startswith(type, 'OBJECT')")
     kind = F.when(F.col("type").startswith("ARRAY"), "array").when(F.col("type") == "STRING", "string").when(F.col("type") == "BOOLEAN", "boolean").otherwise("number")
     text = F.when(F.col("kind") == "array", F.try_variant_get("leaf", "$[0]", "string")).otherwise(F.try_variant_get("leaf", "$", "string"))
     plain = F.try_variant_get("leaf", "$", "double")
