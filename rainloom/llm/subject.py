@@ -31,32 +31,46 @@ SPARE_DIMENSIONS, PASSES = 16, 2
 #: Documents whose paragraphs are embedded at once.
 SLICE = 500
 LEAST_COSINE, MENTIONS, PARAGRAPHS = 0.1, 2, 2
-_WORD = re.compile(r"[a-z]{3,}")
+#: A term has so many letters and stands in so many documents at least.
+LEAST_LETTERS, LEAST_DOCUMENTS = 3, 3
 _MARK = re.compile(r"\s*(?:\[\d{1,4}\]|\d{1,3}[.)](?=\s|$)|§\s*\d+)")
 _HEADER = re.compile(r"\bCRT-\d|\b[A-Z]-\d{6,}/\d{4}|\*\*\*|\bp(?:age|\.) ?\d|^\W*\d+\W*$|^\W*â\W*\d+\W*â", re.I)
 _ENDS = tuple(".:;!?”»\"')")
+#: Letters in lower case, all else blank; END for the end of a line.
+END = b"0"
+_LETTERS = bytes(ord(chr(i).lower()) if chr(i).isalpha() and i < 128 else END[0] if i == 10 else 32 for i in range(256))
 
 
-def fold(text: str) -> str:
+def words(text: str) -> list[bytes]:
+    """The runs of letters of a text without accents, of any length, and END at the end of each line."""
     if not text.isascii():
-        text = unicodedata.normalize("NFKD", text.replace("’", "'")).encode("ascii", "ignore").decode()
-    return text.lower()
+        text = unicodedata.normalize("NFKD", text.replace("’", "'"))
+    return text.replace("\n", " \n ").encode("ascii", "ignore").translate(_LETTERS).split()
 
 
 def paragraphs(text: str | None) -> list[str]:
     """The paragraphs of a decision without page headers: from mark to mark where paragraphs are numbered, else parted by blank lines, else by lines."""
-    lines = [x for x in (text or "").splitlines() if not (len(x) < 80 and _HEADER.search(x))]
-    marked = sum(1 for x in lines if _MARK.match(x))
-    blocks = sum(1 for a, b in zip(lines, lines[1:]) if a.strip() and not b.strip())
+    return _parted(text)[1]
+
+
+def _parted(text: str | None) -> tuple[list[str], list[str]]:
+    """The page headers and the paragraphs of a decision."""
+    heads: list[str] = []
+    lines: list[str] = []
+    for x in (text or "").splitlines():
+        (heads if len(x) < 80 and _HEADER.search(x) else lines).append(x)
+    marks = [_MARK.match(x) is not None for x in lines]
+    marked = sum(marks)
+    bares = [x.strip() for x in lines]
+    blocks = sum(1 for a, b in zip(bares, bares[1:]) if a and not b)
     out: list[str] = []
     fresh = True
-    for line in lines:
-        bare = line.strip()
+    for mark, bare in zip(marks, bares):
         if not bare:
             fresh = True
             continue
         if marked >= 3:
-            starts = bool(_MARK.match(line)) or not out
+            starts = mark or not out
         elif blocks >= 3:
             starts = fresh and not (out and not out[-1].endswith(_ENDS) and bare[:1].islower())
         else:
@@ -66,125 +80,147 @@ def paragraphs(text: str | None) -> list[str]:
         else:
             out[-1] += " " + bare
         fresh = False
-    return out
+    return heads, out
 
 
-def term_counts(docs: DataFrame, labels: dict[int, list[int]], subjects: int) -> DataFrame:
-    """(term, df, by): documents with each term, and how many labelled ones of each subject; counted per task before the shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(labels)  # at most MAX_LABELLED documents
+def term_counts(labelled: DataFrame, subjects: int) -> DataFrame:
+    """(term, by): how many of the labelled documents (text, s) of each subject have each term; counted per task before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df: Counter[str] = Counter()
-        by: dict[str, list[int]] = {}
+        by: list[Counter[bytes]] = [Counter() for _ in range(subjects)]
 
         def flush() -> pa.RecordBatch:
-            none = [0] * subjects
-            terms = list(df)
-            out = pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([df[t] for t in terms], pa.int64()), pa.array([by.get(t, none) for t in terms], pa.list_(pa.int64()))], ["term", "df", "by"])
-            df.clear()
-            by.clear()
+            terms = sorted(set().union(*by))
+            out = pa.RecordBatch.from_arrays([pa.array([t.decode() for t in terms], pa.string()), pa.array([[c[t] for c in by] for t in terms], pa.list_(pa.int64()))], ["term", "by"])
+            for c in by:
+                c.clear()
             return out
 
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                if not text:
-                    continue
-                terms = set(_WORD.findall(fold(text)))
-                df.update(terms)
-                for s in shared.value.get(doc, ()):
-                    for t in terms:
-                        by.setdefault(t, [0] * subjects)[s] += 1
-            if len(df) > 500_000:
+            for text, of in zip(batch.column("text").to_pylist(), batch.column("s").to_pylist()):
+                terms = {w for w in words(" ".join((text or "").splitlines())) if len(w) >= LEAST_LETTERS}
+                for s in of:
+                    by[s].update(terms)
+            if sum(map(len, by)) > 500_000:
                 yield flush()
         yield flush()
 
-    parts = docs.select("doc_id", "text").mapInArrow(run, "term string, df long, by array<long>")
-    return parts.groupBy("term").agg(F.sum("df").alias("df"), F.array(*[F.sum(F.col("by")[i]) for i in range(subjects)]).alias("by"))
+    parts = labelled.select("text", "s").mapInArrow(run, "term string, by array<long>")
+    return parts.groupBy("term").agg(F.array(*[F.sum(F.col("by")[i]) for i in range(subjects)]).alias("by"))
 
 
-def vocabulary(counts: DataFrame, documents: int, class_sizes: list[int]) -> list[tuple[str, float]]:
-    """The terms that tell of a subject, with their weights; each stands in two labelled documents at least, so MAX_LABELLED bounds their number."""
+def telling_terms(counts: DataFrame, class_sizes: list[int]) -> list[tuple[str, float]]:
+    """The terms that tell of a subject, with their largest share; each stands in a labelled document, so MAX_LABELLED bounds their number."""
     n = len(class_sizes)
     rates = [F.col("by")[i] / max(1, c) for i, c in enumerate(class_sizes)]
     total = sum(rates[1:], rates[0])
     seen = sum((F.col("by")[i] for i in range(1, n)), F.col("by")[0])
     share = F.greatest(*rates) / total if n > 1 else F.lit(1.0)
-    kept = (
-        counts.filter(F.col("df") >= 3)
-        .withColumns({"seen": seen, "total": total})
-        .filter("seen >= 2 and total > 0")
-        .withColumn("share", share)
-        .filter(F.col("share") > LEAST_SHARE)
-        .select("term", "df", "share")
-        .collect()
-    )
-    return [(r[0], math.log((documents + 1) / (r[1] + 1)) * r[2] ** 2) for r in sorted(kept)]
+    kept = counts.withColumns({"seen": seen, "total": total}).filter("seen >= 2 and total > 0").withColumn("share", share).filter(F.col("share") > LEAST_SHARE).select("term", "share").collect()
+    return sorted((r[0], r[1]) for r in kept)
 
 
 def encode_paragraphs(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """(doc_id, ids): the numbers of the known terms of each text in their order, -1 between paragraphs."""
-    shared = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})  # terms of the labelled documents
+    """(doc_id, ids): the numbers of the known terms of each text in their order, -1 at the end of each paragraph; those of page headers come first, as -2 less the number."""
+    known = {t.encode(): i for i, t in enumerate(terms)} | {END: -1}
+    shared = docs.sparkSession.sparkContext.broadcast(known)  # terms of the labelled documents
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
             rows = []
             for text in batch.column("text").to_pylist():
-                row: list[int] = []
-                for p in paragraphs(text):
-                    row += [known[w] for w in _WORD.findall(fold(p)) if w in known]
-                    row.append(-1)
+                heads, parts = _parted(text)
+                row = [-2 - known[w] for w in words(" ".join(heads)) if w in known]
+                row += [known[w] for w in words("\n".join([*parts, ""])) if w in known]
                 rows.append(row)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
-def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, paragraph, term) of each term; paragraphs are numbered through the batch."""
+def document_counts(encoded: DataFrame, terms: int) -> np.ndarray:
+    """How many documents have each term, page headers included."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(terms, np.int64)
+        for batch in batches:
+            row, ids = _listed(batch)
+            row, ids = row[ids != -1], ids[ids != -1]
+            total += np.bincount(np.unique(row * terms + np.where(ids < 0, -2 - ids, ids)) % terms, minlength=terms)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["term", "n"])
+
+    out = np.zeros(terms, np.int64)
+    for r in encoded.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n")).collect():  # one row per term
+        out[r[0]] = r[1]
+    return out
+
+
+def _listed(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(row, id) of all ids of a batch."""
     column = batch.column("ids")
-    ids, at = column.flatten().to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-    row = np.repeat(np.arange(batch.num_rows), np.diff(at))
+    return np.repeat(np.arange(batch.num_rows), np.diff(column.offsets.to_numpy())), column.flatten().to_numpy(zero_copy_only=False)
+
+
+def _flat(batch: pa.RecordBatch, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, paragraph, term) of each term that has a number; paragraphs are numbered through the batch."""
+    row, ids = _listed(batch)
     paragraph = np.cumsum(ids < 0) - (ids < 0)
-    real = ids >= 0
-    return row[real], paragraph[real], ids[real]
+    term = np.where(ids < 0, -1, number[np.maximum(ids, 0)])
+    real = term >= 0
+    return row[real], paragraph[real], term[real]
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+def _slices(batches: Iterator[pa.RecordBatch], number: np.ndarray) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     """`_flat` of SLICE documents at a time, with their rows; slices without a known term are left out."""
     for batch in batches:
         for i in range(0, batch.num_rows, SLICE):
             part = batch.slice(i, SLICE)
-            row, paragraph, term = _flat(part)
+            row, paragraph, term = _flat(part, number)
             if len(term):
                 yield part, row, paragraph, term
 
 
-def _by_term(term: np.ndarray, values: np.ndarray, out: np.ndarray) -> None:
-    """Adds the rows of `values` to the rows `term` of `out`."""
+def run_sums(values: np.ndarray, index: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the rows values[index] from each place of `first` up to the next; all runs of one length at once, which takes a fraction of the time of `np.add.reduceat`."""
+    length = np.diff(np.append(first, len(index)))
+    out = np.empty((len(first), values.shape[1]))
+    order = np.argsort(length, kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(length[order])) + 1):
+        out[at] = values[index[first[at][:, None] + np.arange(length[at[0]])]].sum(axis=1)
+    return out
+
+
+def _by_term(term: np.ndarray, index: np.ndarray, values: np.ndarray, out: np.ndarray) -> None:
+    """Adds the rows values[index] to the rows `term` of `out`."""
     order = np.argsort(term, kind="stable")
     first = np.flatnonzero(np.diff(term[order], prepend=-1))
-    out[term[order][first]] += np.add.reduceat(values[order], first, axis=0)
+    out[term[order][first]] += run_sums(values, index[order], first)
+
 
+def _vectors(rows: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32), pa.array(rows.ravel()))
 
-def multiplied(encoded: DataFrame, weight: np.ndarray, q: np.ndarray) -> np.ndarray:
+
+def multiplied(encoded: DataFrame, number: np.ndarray, weight: np.ndarray, q: np.ndarray) -> np.ndarray:
     """A'A q of the weighted paragraph-by-term matrix A over all documents, whatever their number; one row per term leaves each task."""
-    shared = encoded.sparkSession.sparkContext.broadcast((weight, q * weight[:, None]))
+    shared = encoded.sparkSession.sparkContext.broadcast((number, weight, q * weight[:, None]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, scaled = shared.value
+        numbers, weights, scaled = shared.value
         total = np.zeros(scaled.shape)
-        for _, _, paragraph, term in _slices(batches):
+        for _, _, paragraph, term in _slices(batches, numbers):
             pair = np.unique(paragraph.astype(np.int64) * len(weights) + term)
             paragraph, term = pair // len(weights), pair % len(weights)
-            first = np.flatnonzero(np.diff(paragraph, prepend=-1))
-            sums = np.add.reduceat(scaled[term], first, axis=0)
-            _by_term(term, np.repeat(sums, np.diff(np.append(first, len(term))), axis=0), total)
+            new = np.diff(paragraph, prepend=-1) != 0
+            sums = run_sums(scaled, term, np.flatnonzero(new))
+            _by_term(term, np.cumsum(new) - 1, sums, total)
         total *= weights[:, None]
         used = np.flatnonzero(np.abs(total).sum(axis=1))
         for i in range(0, len(used), 1000):
             at = used[i : i + 1000]
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at].tolist(), pa.list_(pa.float64()))], ["term", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(at), _vectors(total[at])], ["term", "v"])
 
     sums = encoded.mapInArrow(run, "term long, v array<double>").groupBy("term").agg(F.array(*[F.sum(F.col("v")[i]) for i in range(q.shape[1])]).alias("v"))
     out = np.zeros(q.shape)
@@ -193,21 +229,22 @@ def multiplied(encoded: DataFrame, weight: np.ndarray, q: np.ndarray) -> np.ndar
     return out
 
 
-def truncated_basis(encoded: DataFrame, weight: np.ndarray) -> np.ndarray:
+def truncated_basis(encoded: DataFrame, number: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """The first right singular vectors of the weighted paragraph-by-term matrix, by subspace iteration over all documents."""
     size = len(weight)
     q = np.linalg.qr(np.random.default_rng(0).standard_normal((size, min(size, DIMENSIONS + SPARE_DIMENSIONS))))[0]
     for _ in range(PASSES):
-        q = np.linalg.qr(multiplied(encoded, weight, q))[0]
-    small = q.T @ multiplied(encoded, weight, q)
+        q = np.linalg.qr(multiplied(encoded, number, weight, q))[0]
+    small = q.T @ multiplied(encoded, number, weight, q)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     return q @ vectors[:, np.argsort(-values)[: min(DIMENSIONS, size)]]
 
 
 class Space:
-    """Weighted terms, their embedding and the centroids of the subjects."""
+    """Weighted terms with their numbers, their embedding and the centroids of the subjects."""
 
-    def __init__(self, weight: np.ndarray, basis: np.ndarray, centroids: np.ndarray) -> None:
+    def __init__(self, number: np.ndarray, weight: np.ndarray, basis: np.ndarray, centroids: np.ndarray) -> None:
+        self.number = number
         self.basis = basis * weight[:, None]
         self.least_cosine, self.mentions = LEAST_COSINE, MENTIONS
         self.use(centroids)
@@ -219,7 +256,7 @@ class Space:
 
     def embed(self, group: np.ndarray, term: np.ndarray) -> np.ndarray:
         """Sums of the vectors of the terms of each group; the groups are 0, 1, ... in this order."""
-        return np.add.reduceat(self.basis[term], np.flatnonzero(np.diff(group, prepend=-1)))
+        return run_sums(self.basis, term, np.flatnonzero(np.diff(group, prepend=-1)))
 
     def devoted(self, paragraph: np.ndarray, term: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(subject, unit vector) of each of n paragraphs, each with terms; -1 where no subject is near enough or mentioned often enough."""
@@ -238,12 +275,12 @@ def _sums(encoded: DataFrame, space: Space, k: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((k, space.basis.shape[1]))
-        for _, _, paragraph, term in _slices(batches):
+        for _, _, paragraph, term in _slices(batches, shared.value.number):
             used, paragraph = np.unique(paragraph, return_inverse=True)
             subject, x = shared.value.devoted(paragraph, term, len(used))
-            if (subject >= 0).any():
-                _by_term(subject[subject >= 0], x[subject >= 0], total)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k)), pa.array(total.tolist(), pa.list_(pa.float64()))], ["subject", "v"])
+            if len(at := np.flatnonzero(subject >= 0)):
+                _by_term(subject[at], at, x, total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k)), _vectors(total)], ["subject", "v"])
 
     dims = range(space.basis.shape[1])
     rows = encoded.mapInArrow(run, "subject long, v array<double>").groupBy("subject").agg(F.array(*[F.sum(F.col("v")[i]) for i in dims]).alias("v")).collect()
@@ -267,22 +304,28 @@ def subjects_of(docs: DataFrame, subjects: DataFrame, labels: DataFrame) -> Data
     if not known or not names:
         return spark.createDataFrame([], "doc_id long, subject string")
     sizes = [sum(i in v for v in known.values()) for i in range(len(names))]
-    terms = vocabulary(term_counts(docs, known, len(names)), docs.count(), sizes)
+    lookup = spark.createDataFrame(list(known.items()), "doc_id long, s array<int>")
+    told = telling_terms(term_counts(docs.join(F.broadcast(lookup), "doc_id"), len(names)), sizes)
+    if not told:
+        return spark.createDataFrame([], "doc_id long, subject string")
+    encoded = staged(encode_paragraphs(docs, [t for t, _ in told]))
+    counts, documents = document_counts(encoded, len(told)), docs.count()
+    number = np.where(counts >= LEAST_DOCUMENTS, np.cumsum(counts >= LEAST_DOCUMENTS) - 1, -1)
+    terms = [(t, math.log((documents + 1) / (n + 1)) * share**2) for (t, share), n in zip(told, counts.tolist()) if n >= LEAST_DOCUMENTS]
     if not terms:
         return spark.createDataFrame([], "doc_id long, subject string")
     weight = np.array([w for _, w in terms])
-    encoded = staged(encode_paragraphs(docs, [t for t, _ in terms]))
-    basis = truncated_basis(encoded, weight)
-    space = Space(weight, basis, np.zeros((len(names), basis.shape[1])))
-    place = {t: i for i, (t, _) in enumerate(terms)}
+    basis = truncated_basis(encoded, number, weight)
+    space = Space(number, weight, basis, np.zeros((len(names), basis.shape[1])))
+    place = {t.encode(): i for i, (t, _) in enumerate(terms)}
     seeds = np.zeros((len(names), basis.shape[1]))
     for i, (_, text) in enumerate(named):
-        for w in _WORD.findall(fold(text)):
+        for w in words(text):
             if w in place:
                 seeds[i] += space.basis[place[w]]
-    lookup = spark.createDataFrame([(d, v) for d, v in known.items()], "doc_id long, s array<int>")
     for r in encoded.join(F.broadcast(lookup), "doc_id").select("s", "ids").toLocalIterator():  # at most MAX_LABELLED rows
-        ids = np.array([i for i in r[1] if i >= 0], dtype=int)
+        ids = number[[i for i in r[1] if i >= 0]]
+        ids = ids[ids >= 0]
         if len(ids):
             v = space.basis[ids].sum(axis=0)
             for s in r[0]:
@@ -295,7 +338,7 @@ def subjects_of(docs: DataFrame, subjects: DataFrame, labels: DataFrame) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, called = shared.value
-        for part, row, paragraph, term in _slices(batches):
+        for part, row, paragraph, term in _slices(batches, model.number):
             ids = part.column("doc_id").to_pylist()
             used, first, paragraph = np.unique(paragraph, return_index=True, return_inverse=True)
             subject, _ = model.devoted(paragraph, term, len(used))

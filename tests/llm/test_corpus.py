@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -140,6 +141,33 @@ def test_paragraphs():
     assert subject.paragraphs("A one.\nB two\nand on.\nC.") == ["A one.", "B two and on.", "C."] and subject.paragraphs(None) == []
 
 
+def test_terms_are_parted_once_and_counted_in_what_was_encoded(spark):
+    docs = spark.createDataFrame([(1, "[1] Kéel tide.\n[2] an Anchor"), (2, "p. 3 anchor\n[1] TIDE tide\u2028rudder"), (3, "unlabelled tide"), (4, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, [0]), (2, [0, 1]), (4, [1])], "doc_id long, s array<int>")
+    assert subject.words("Ab’s ﬁn d'é\n1x\n") == [b"ab", b"s", b"fin", b"d", b"e", b"0", b"x", b"0"]
+    counts = {r[0]: r[1] for r in subject.term_counts(docs.join(labels, "doc_id"), 2).collect()}  # no other texts are parted here
+    assert counts == {"keel": [1, 0], "tide": [2, 1], "anchor": [2, 1], "rudder": [1, 1]}
+    encoded = subject.encode_paragraphs(docs, ["anchor", "keel", "rudder", "tide"])
+    ids = {r[0]: r[1] for r in encoded.collect()}
+    assert ids == {1: [1, 3, -1, 0, -1], 2: [-2, 3, 3, 2, -1], 3: [3, -1], 4: []}
+    assert subject.document_counts(encoded, 4).tolist() == [2, 1, 1, 3]
+
+
+def test_run_sums_equal_reduceat_in_less_time():
+    rng = np.random.default_rng(3)
+    values, index = rng.standard_normal((1000, 112)), rng.integers(0, 1000, 25_000)
+    first = np.append(0, np.flatnonzero(rng.random(len(index)) < 0.25)[1:])
+
+    def seconds(f):
+        began = time.thread_time()
+        f()
+        return time.thread_time() - began
+
+    slow, fast = (lambda: np.add.reduceat(values[index], first, axis=0)), (lambda: subject.run_sums(values, index, first))
+    assert np.allclose(slow(), fast()) and np.allclose(subject.run_sums(values, index[:1], np.array([0])), values[index[:1]])
+    assert min(seconds(fast) for _ in range(7)) < 0.8 * min(seconds(slow) for _ in range(7))
+
+
 def test_leaked_spans_are_cut_out_and_the_rest_stays(spark):
     words = [f"word{chr(97 + i % 26)}{i}" for i in range(60)]
     passage = " ".join(words)
